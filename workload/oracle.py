@@ -13,7 +13,7 @@ def parsed_date(column: str) -> str:
 def prefix_number(column: str) -> str:
     digits = rf"regexp_extract({column}, '^\s*([+-]?\d+)', 1)"
     return (
-        f"CASE WHEN {digits} = '' THEN NULL WHEN TRY_CAST({digits} AS BIGINT) IS NOT NULL "
+        f"CASE WHEN {column} IS NULL OR {digits} = '' THEN NULL WHEN TRY_CAST({digits} AS BIGINT) IS NOT NULL "
         f"THEN TRY_CAST({digits} AS BIGINT) WHEN {digits} LIKE '-%' THEN -9223372036854775808 "
         "ELSE 9223372036854775807 END"
     )
