@@ -66,9 +66,9 @@ def insert_ignore(
         return InsertResult(name, profile["offered"], rejected, 0)
 
     fresh = first_per_key(rows.where(usable), table.key, order).select(*table.columns)
-    if any(profile["first"] <= d <= profile["last"] for d in store.days(name)):
-        known = store.read(name).where(F.col(table.day).between(profile["first"], profile["last"]))
-        fresh = unknown_keys(fresh, known, table.key)
+    shared_days = [d for d in store.days(name) if profile["first"] <= d <= profile["last"]]
+    if shared_days:
+        fresh = unknown_keys(fresh, store.read(name, shared_days), table.key)
     # Even files per day: small shuffle partitions are merged and a hot day is split.
     counted = store.append(
         name, fresh.hint("rebalance", table.day), first=F.min(table.day), last=F.max(table.day)

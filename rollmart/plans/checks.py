@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keyed import all_present
-from ..schemas import FACT, FOREIGN_KEYS, UNIQUE_KEYS, WAREHOUSE
+from ..schemas import FACT, FOREIGN_KEYS, TABLES, UNIQUE_KEYS, WAREHOUSE
 from ..sources.store import Store
 
 # Declared tests on the mart columns.
@@ -51,21 +52,30 @@ def unique_checks(store: Store) -> DataFrame:
     return reduce(DataFrame.unionByName, (unique(store.read(t), t, key) for t, key in UNIQUE.items()))
 
 
-def key_checks(store: Store) -> DataFrame:
-    """Declared primary keys and unique natural keys of all warehouse tables."""
-    parts = [unique(store.read(t.name), t.name, t.key, "primary_key") for t in WAREHOUSE if t.key]
+def _part(store: Store, name: str, days: list[date] | None) -> DataFrame:
+    if days is None or not TABLES[name].day:
+        return store.read(name)
+    return store.read(name, [d for d in store.days(name) if d in set(days)])
+
+
+def key_checks(store: Store, days: list[date] | None = None) -> DataFrame:
+    """Declared primary keys and unique natural keys of all warehouse tables.
+
+    The day is part of every key of a day-partitioned table, so after a daily load its ``days`` are enough.
+    """
+    parts = [unique(_part(store, t.name, days), t.name, t.key, "primary_key") for t in WAREHOUSE if t.key]
     parts += [unique(store.read(t), t, key) for t, key in UNIQUE_KEYS.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
-def foreign_key_checks(store: Store) -> DataFrame:
+def foreign_key_checks(store: Store, days: list[date] | None = None) -> DataFrame:
     """Fact rows per foreign key whose value the dimension lacks; NULL is allowed.
 
     One pass over the fact: its key values are stacked and counted before the shuffle, so the look-up sees
     one row per distinct value.
     """
     names = list(FOREIGN_KEYS)
-    fact = store.read(FACT.name).select(*(F.col(c).cast("bigint").alias(c) for c in names))
+    fact = _part(store, FACT.name, days).select(*(F.col(c).cast("bigint").alias(c) for c in names))
     used = (
         fact.unpivot([], names, "column_name", "value").where(F.col("value").isNotNull())
         .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))

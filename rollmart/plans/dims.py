@@ -21,8 +21,18 @@ def calendar(days: DataFrame) -> DataFrame:
     return days.select("snapshot_date").distinct().select(*calendar_columns(F.col("snapshot_date")))
 
 
-def distinct_members(stage: DataFrame, column: str) -> DataFrame:
-    return stage.select(column).where(F.col(column).isNotNull()).distinct()
+def attribute_sets(stage: DataFrame) -> DataFrame:
+    """The distinct combinations of school, grade and class stream with the day each was first seen.
+
+    One pass over the stage serves three dimensions; the hash aggregate leaves few rows per task.
+    """
+    return stage.groupBy("academy_name", "grade_id", "grade_name", "stream").agg(
+        F.min("snapshot_date").alias("first_seen")
+    )
+
+
+def distinct_members(rows: DataFrame, column: str) -> DataFrame:
+    return rows.select(column).where(F.col(column).isNotNull()).distinct()
 
 
 def pupil_members(stage: DataFrame) -> DataFrame:
@@ -31,14 +41,11 @@ def pupil_members(stage: DataFrame) -> DataFrame:
     return first_per_key(rows, ("pupil_id",), ("snapshot_date",)).drop("snapshot_date")
 
 
-def grade_members(stage: DataFrame) -> DataFrame:
-    """One row per grade id; of several names the one seen earliest, then the alphabetically first.
-
-    The hash aggregate leaves a handful of (id, name) pairs per task before anything is sorted.
-    """
-    named = stage.where(all_present(("grade_id", "grade_name")))
-    pairs = named.groupBy("grade_id", "grade_name").agg(F.min("snapshot_date").alias("_first"))
-    return first_per_key(pairs, ("grade_id",), ("_first", "grade_name")).drop("_first")
+def grade_members(sets: DataFrame) -> DataFrame:
+    """One row per grade id; of several names the one seen earliest, then the alphabetically first."""
+    named = sets.where(all_present(("grade_id", "grade_name")))
+    pairs = named.groupBy("grade_id", "grade_name").agg(F.min("first_seen").alias("first_seen"))
+    return first_per_key(pairs, ("grade_id",), ("first_seen", "grade_name")).drop("first_seen")
 
 
 @dataclass(frozen=True)
@@ -49,24 +56,24 @@ class Dimension:
     members: Callable[[DataFrame], DataFrame]
 
 
-DIMENSIONS = (
-    Dimension("dim_pupil", "pupil_key", "pupil_id", pupil_members),
-    Dimension("dim_academy", "academy_key", "academy_name", lambda s: distinct_members(s, "academy_name")),
+PUPIL = Dimension("dim_pupil", "pupil_key", "pupil_id", pupil_members)
+# The dimensions whose members come from ``attribute_sets``.
+ATTRIBUTES = (
+    Dimension("dim_academy", "academy_key", "academy_name", lambda sets: distinct_members(sets, "academy_name")),
     Dimension("dim_grade", "grade_key", "grade_id", grade_members),
-    Dimension("dim_stream", "stream_key", "stream", lambda s: distinct_members(s, "stream")),
+    Dimension("dim_stream", "stream_key", "stream", lambda sets: distinct_members(sets, "stream")),
 )
 
 
-def extend_dimension(store: Store, dim: Dimension, stage: DataFrame) -> int:
-    """Append the members of ``stage`` the dimension lacks; returns how many."""
+def extend_dimension(store: Store, dim: Dimension, rows: DataFrame) -> int:
+    """Append the members found in ``rows`` that the dimension lacks; returns how many."""
     known = store.read(dim.table)
     with store.scratch() as scratch:
-        fresh = unknown_keys(dim.members(stage), known, (dim.natural,))
-        start = known.agg(F.max(dim.key)).first()[0] or 0
-        keyed = assign_keys(fresh, dim.natural, dim.key, start, scratch)
-        if keyed.isEmpty():
+        fresh = scratch.keep(unknown_keys(dim.members(rows), known, (dim.natural,)), dim.table)
+        if fresh.isEmpty():
             return 0
-        return store.append(dim.table, keyed)["rows"]
+        start = known.agg(F.max(dim.key)).first()[0] or 0
+        return store.append(dim.table, assign_keys(fresh, dim.natural, dim.key, start, scratch))["rows"]
 
 
 def extend_calendar(store: Store) -> int:
@@ -84,10 +91,11 @@ def load_dims(store: Store, days: tuple[date, date] | None = None) -> dict[str,
 
     ``days`` limits the work to the stage days that received rows; without it the whole stage is read.
     """
-    stage = store.read(STG_PUPIL.name)
-    if days:
-        stage = stage.where(F.col("snapshot_date").between(*days))
-    added = {DIM_DATE.name: extend_calendar(store)}
-    for dim in DIMENSIONS:
-        added[dim.table] = extend_dimension(store, dim, stage)
+    held = store.days(STG_PUPIL.name)
+    stage = store.read(STG_PUPIL.name, [d for d in held if not days or days[0] <= d <= days[1]])
+    added = {DIM_DATE.name: extend_calendar(store), PUPIL.table: extend_dimension(store, PUPIL, stage)}
+    with store.scratch() as scratch:
+        sets = scratch.keep(attribute_sets(stage), "attribute_sets")
+        for dim in ATTRIBUTES:
+            added[dim.table] = extend_dimension(store, dim, sets)
     return added

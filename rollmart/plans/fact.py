@@ -9,6 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keyed import unknown_keys
 from ..schemas import DIM_DATE, FACT, STG_ATTENDANCE, STG_PUPIL
 from ..sources.store import Store
 
@@ -64,11 +65,11 @@ def _keyed(store: Store, joined: DataFrame, batch: Column) -> DataFrame:
 def build_day(store: Store, day: date, batch_id: str) -> DataFrame:
     """Fact rows of one day.
 
-    The day is a literal, so both scans read one folder, and the joins need the pupil id alone: stage,
-    marks and pupil dimension share one partitioning.
+    Both scans list and read one folder, and the joins need the pupil id alone: stage, marks and pupil
+    dimension share one partitioning.
     """
-    pupils = store.read(STG_PUPIL.name).where(F.col("snapshot_date") == F.lit(day))
-    marks = store.read(STG_ATTENDANCE.name).where(F.col("attendance_date") == F.lit(day))
+    pupils = store.read(STG_PUPIL.name, [day])
+    marks = store.read(STG_ATTENDANCE.name, [day])
     joined = pupils.join(marks.select("pupil_id", "attendance"), "pupil_id")
     return _keyed(store, joined, F.lit(batch_id))
 
@@ -146,23 +147,22 @@ def load_history(store: Store, batch_of: Callable[[Column], Column], advance: st
         raise RuntimeError("the fact is not empty; use load_next")
     start = _first_calendar_day(store)
     days = [day for day in _stage_days(store) if start and day >= start]
-    pupils, marks = store.read(STG_PUPIL.name), store.read(STG_ATTENDANCE.name)
     if advance == STRICT:
         days = _unbroken(days, start)
-        if days:
-            keys = pupils.where(F.col("snapshot_date").between(days[0], days[-1])).select("snapshot_date", "pupil_id")
-            met = staged_with_marks(keys, marks.select("attendance_date", "pupil_id"))
-            # One row per day comes to the driver.
-            days = _unbroken(sorted(r[0] for r in met.select("snapshot_date").distinct().collect()), start)
     if not days:
         return LoadResult("", start, 0, False)
-    pupils = pupils.where(F.col("snapshot_date").between(days[0], days[-1]))
-    marks = marks.where(F.col("attendance_date").between(days[0], days[-1]))
+    pupils, marks = store.read(STG_PUPIL.name, days), store.read(STG_ATTENDANCE.name, days)
     rows = _keyed(store, staged_with_marks(pupils, marks), batch_of(F.col("fact_date")))
     store.open_step("history")
     inserted = store.put_days(FACT.name, rows.hint("rebalance", FACT.day))["rows"]
+    loaded = store.days(FACT.name)
+    if advance == STRICT and loaded != _unbroken(loaded, start):
+        # A day with staged rows but no joined ones: daily loads would have stopped there.
+        store.drop_days(FACT.name, loaded[len(_unbroken(loaded, start)):])
+        inserted = store.read(FACT.name).count()
+        loaded = store.days(FACT.name)
     store.close_step("history")
-    return LoadResult("", days[-1], inserted, False)
+    return LoadResult("", loaded[-1] if loaded else start, inserted, False)
 
 
 def load_summary(store: Store, result: LoadResult) -> DataFrame:
@@ -178,16 +178,12 @@ def load_summary(store: Store, result: LoadResult) -> DataFrame:
 def late_rows(store: Store) -> DataFrame:
     """Staged rows with a mark whose day the fact has already passed without them."""
     loaded = store.days(FACT.name)
-    pupils, marks = store.read(STG_PUPIL.name), store.read(STG_ATTENDANCE.name)
-    if not loaded:
-        return staged_with_marks(pupils, marks).select("snapshot_date", "pupil_id", "attendance").limit(0)
+    passed = [day for day in _stage_days(store) if loaded and day <= loaded[-1]]
     joined = staged_with_marks(
-        pupils.where(F.col("snapshot_date") <= F.lit(loaded[-1])).select("snapshot_date", "pupil_id"),
-        marks.where(F.col("attendance_date") <= F.lit(loaded[-1])),
+        store.read(STG_PUPIL.name, passed).select("snapshot_date", "pupil_id"),
+        store.read(STG_ATTENDANCE.name, passed),
     )
-    known = store.read(FACT.name).select("fact_date", "pupil_key").join(
+    known = store.read(FACT.name).select(F.col("fact_date").alias("snapshot_date"), "pupil_key").join(
         store.read("dim_pupil").select("pupil_key", "pupil_id"), "pupil_key"
-    ).withColumnRenamed("fact_date", "snapshot_date")
-    return joined.join(known, ["snapshot_date", "pupil_id"], "left_anti").select(
-        "snapshot_date", "pupil_id", "attendance"
     )
+    return unknown_keys(joined, known, STG_PUPIL.key).select("snapshot_date", "pupil_id", "attendance")

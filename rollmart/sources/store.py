@@ -42,12 +42,19 @@ class Store:
     def exists(self, name: str) -> bool:
         return self.folders.exists(self.path(name))
 
-    def read(self, name: str) -> DataFrame:
-        """The table, or an empty frame with its schema when nothing was written yet."""
-        schema = TABLES[name].schema
-        if not self.exists(name):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(name))
+    def read(self, name: str, days: list[date] | None = None) -> DataFrame:
+        """The table, or an empty frame with its schema when nothing was written yet.
+
+        With ``days`` (as ``days()`` lists them) only those day folders are listed and read, so a daily load
+        does not have to index the files of the whole history first.
+        """
+        table, path = TABLES[name], self.path(name)
+        if days == [] or not self.exists(name):
+            return self.spark.createDataFrame([], table.schema)
+        reader = self.spark.read.schema(table.schema)
+        if days is None:
+            return reader.parquet(path)
+        return reader.option("basePath", path).parquet(*(f"{path}/{table.day}={day}" for day in days))
 
     def days(self, name: str) -> list[date]:
         """Days a partitioned table holds, from the folder listing alone (no Spark job)."""
@@ -55,6 +62,10 @@ class Store:
         found = (n[len(prefix):] for n in self.folders.names(self.path(name)) if n.startswith(prefix))
         return sorted(date.fromisoformat(day) for day in found)
 
+    def drop_days(self, name: str, days: list[date]) -> None:
+        for day in days:
+            self.folders.remove(f"{self._own(name)}/{TABLES[name].day}={day}")
+
     def register_views(self) -> None:
         """Temporary views over all tables, for SQL text."""
         for name in TABLES:

@@ -201,10 +201,8 @@ for _query, _table in (
 def dim_incremental_keys(spark, sf_dir):
     store = loaded(spark, sf_dir).branch(new_root(spark), ["dim_pupil"])
     staged = store.read(STG_PUPIL.name)
-    pupil = dims.DIMENSIONS[0]
-    dims.extend_dimension(store, pupil, staged.where(F.col("snapshot_date") == DAY % 1))
-    dims.extend_dimension(store, pupil, staged)
-    dims.extend_dimension(store, pupil, staged)
+    for rows in (staged.where(F.col("snapshot_date") == DAY % 1), staged, staged):
+        dims.extend_dimension(store, dims.PUPIL, rows)
     return store.read("dim_pupil")
 
 
