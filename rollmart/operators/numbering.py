@@ -2,6 +2,8 @@
 
 The rows are range-partitioned and sorted once and kept as a scratch table together with their slot
 (partition and row inside it). Sums per partition, one row each, give every partition its offset.
+
+Where the caller has counted the rows and they are few (``SMALL``), one sorting task does the same at once.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from ..sources.folders import Scratch
 
 # monotonically_increasing_id() holds the partition above bit 33 and the row number below it.
 SLOT_BITS = 33
+# Rows that may be sorted in one task.
+SMALL = 200_000
 
 
 def _ranged(rows: DataFrame, order: list[Column], scratch: Scratch, label: str) -> DataFrame:
@@ -28,8 +32,12 @@ def _offsets(totals: DataFrame) -> DataFrame:
     return F.broadcast(totals.select("_range", offset.alias("_offset")))
 
 
-def number_rows(rows: DataFrame, order: list[Column], column: str, scratch: Scratch) -> DataFrame:
+def number_rows(
+    rows: DataFrame, order: list[Column], column: str, scratch: Scratch, count: int | None = None
+) -> DataFrame:
     """Adds 1..N in the given order, which has to be total for a repeatable numbering."""
+    if count is not None and count <= SMALL:
+        return rows.withColumn(column, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     ranged = _ranged(rows, order, scratch, column)
     offsets = _offsets(ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_total")))
     row = F.col("_slot").bitwiseAND(F.lit((1 << SLOT_BITS) - 1))
@@ -47,12 +55,16 @@ def sum_before(rows: DataFrame, order: list[Column], value: str, column: str, sc
     )
 
 
-def rank_descending(rows: DataFrame, measure: str, column: str, scratch: Scratch) -> DataFrame:
+def rank_descending(
+    rows: DataFrame, measure: str, column: str, scratch: Scratch, count: int | None = None
+) -> DataFrame:
     """``RANK() OVER (ORDER BY measure DESC)``: ties share a rank and leave a gap behind them.
 
     The rank of a value is one more than the number of rows above it, so only distinct values are sorted.
     ``rows`` is read twice and should be a stored table; ``measure`` must not be NULL.
     """
+    if count is not None and count <= SMALL:
+        return rows.withColumn(column, F.rank().over(Window.orderBy(F.desc(measure))))
     levels = rows.groupBy(measure).agg(F.count(F.lit(1)).alias("_rows"))
     above = sum_before(levels, [F.desc(measure)], "_rows", "_above", scratch)
     return rows.join(above.drop("_rows"), measure).select(
@@ -60,7 +72,9 @@ def rank_descending(rows: DataFrame, measure: str, column: str, scratch: Scratch
     )
 
 
-def assign_keys(members: DataFrame, natural: str, key: str, start: int, scratch: Scratch) -> DataFrame:
+def assign_keys(
+    members: DataFrame, natural: str, key: str, start: int, scratch: Scratch, count: int | None = None
+) -> DataFrame:
     """Dense surrogate keys start+1.. in the order of the natural key, which is unique in ``members``."""
-    numbered = number_rows(members, [F.col(natural).asc()], key, scratch)
+    numbered = number_rows(members, [F.col(natural).asc()], key, scratch, count)
     return numbered.withColumn(key, F.col(key) + F.lit(start))

@@ -69,11 +69,13 @@ def extend_dimension(store: Store, dim: Dimension, rows: DataFrame) -> int:
     """Append the members found in ``rows`` that the dimension lacks; returns how many."""
     known = store.read(dim.table)
     with store.scratch() as scratch:
-        fresh = scratch.keep(unknown_keys(dim.members(rows), known, (dim.natural,)), dim.table)
-        if fresh.isEmpty():
+        unseen = unknown_keys(dim.members(rows), known, (dim.natural,))
+        fresh, count = scratch.keep_counted(unseen, dim.table)
+        if not count:
             return 0
         start = known.agg(F.max(dim.key)).first()[0] or 0
-        return store.append(dim.table, assign_keys(fresh, dim.natural, dim.key, start, scratch))["rows"]
+        keyed = assign_keys(fresh, dim.natural, dim.key, start, scratch, count)
+        return store.append(dim.table, keyed)["rows"]
 
 
 def extend_calendar(store: Store) -> int:

@@ -65,8 +65,8 @@ def academy_metrics(fact: DataFrame, academies: DataFrame) -> DataFrame:
 
 def academy_benchmarks(fact: DataFrame, academies: DataFrame, scratch: Scratch) -> DataFrame:
     """Academies ranked by their overall rate, best first."""
-    metrics = scratch.keep(academy_metrics(fact, academies), "metrics")
-    return rank_descending(metrics, "overall_attendance_rate", "rank", scratch)
+    metrics, count = scratch.keep_counted(academy_metrics(fact, academies), "metrics")
+    return rank_descending(metrics, "overall_attendance_rate", "rank", scratch, count)
 
 
 # Reading order of the marts: descending keys start and ascending keys end with NULL.
@@ -93,9 +93,9 @@ def read_mart(store: Store, name: str) -> DataFrame:
     return store.read(name).orderBy(*MART_ORDER[name]())
 
 
-def positioned(rows: DataFrame, order: list, scratch: Scratch) -> DataFrame:
+def positioned(rows: DataFrame, order: list, scratch: Scratch, count: int | None = None) -> DataFrame:
     """The rows with their place in the order as column ``pos``."""
-    return number_rows(rows, order, "pos", scratch)
+    return number_rows(rows, order, "pos", scratch, count)
 
 
 def build_marts(store: Store) -> dict[str, int]:

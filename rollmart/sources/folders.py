@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
@@ -53,9 +54,13 @@ class Scratch:
         return f"{self.root}/{label}-{uuid4().hex[:8]}"
 
     def keep(self, rows: DataFrame, label: str) -> DataFrame:
-        path = self.path(label)
-        rows.write.parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
+        return self.keep_counted(rows, label)[0]
+
+    def keep_counted(self, rows: DataFrame, label: str) -> tuple[DataFrame, int]:
+        """The stored rows and how many they are."""
+        path, seen = self.path(label), Observation()
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path), seen.get["rows"]
 
     def __enter__(self) -> "Scratch":
         return self

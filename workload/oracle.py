@@ -208,6 +208,8 @@ SELECT event_id, {blank_null('raw')} AS text FROM (
 SELECT SnapshotDate, AcademyName, PupilID, FirstName, {MARKED_NAME} AS MiddleName, LastName, Status, GradeId,
   GradeName, nullif(Stream, '') AS Stream FROM raw_pupil"""),
     "csv_attendance_load": over("SELECT Date, PupilID, Attendance FROM raw_marks"),
+    "csv_to_stage": over("SELECT * FROM stg_pupil"),
+    "stream_to_stage": over("SELECT * FROM stg_marks"),
     "raw_full_replace": over(
         "SELECT SnapshotDate, upper(Status) AS Status, count(*) AS n FROM raw_pupil GROUP BY ALL"),
     "stg_pupil_clean": over("SELECT * FROM stg_pupil"),
