@@ -1,0 +1,324 @@
+from __future__ import annotations
+
+import csv
+from datetime import date, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import snapshot
+from rollmart.functions.calendar import new_batch_id
+from rollmart.plans import daily, dims, fact, stage
+from rollmart.schemas import ATTENDANCE_EXTRACT, PUPIL_EXTRACT, WAREHOUSE
+from rollmart.sources import extracts
+from rollmart.sources.store import Store, layer_order
+
+FACT = "fact_pupil_attendance_daily"
+
+
+def day(n):
+    return date(2025, 1, n)
+
+
+def text(n):
+    return f"2025/01/{n:02d}"
+
+
+def put(store, pupils, marks):
+    store.replace("raw_pupil", pupils)
+    store.replace("raw_pupil_attendance", marks)
+    return daily.load_stage_and_dims(store)
+
+
+def school(raw, days, pupils=("1", "2", "3")):
+    return (
+        raw(*[snapshot(text(d), p) for d in days for p in pupils]),
+        raw.marks(*[(text(d), p, "Present") for d in days for p in pupils]),
+    )
+
+
+def fact_days(store):
+    rows = store.read(FACT).groupBy("fact_date").count().collect()
+    return {r["fact_date"].day: r["count"] for r in rows}
+
+
+# Extracts
+
+def write_csv(path, header, rows):
+    with open(path, "w", newline="") as out:
+        writer = csv.writer(out)
+        writer.writerow(header)
+        writer.writerows(rows)
+    return str(path)
+
+
+def test_csv_markers_quotes_and_column_order(spark, tmp_path):
+    header = ("Attendance", "Note", "PupilID", "Date")
+    rows = [
+        ("Present", "x", "1", "2025/01/01"), ("NA", "x", "2", "2025/01/01"), ("", "x", "3", "null"),
+        ('say "no", twice', "x", " 4 ", "2025\\01"), (" ", "x", "5", "2025/01/01"),
+    ]
+    path = write_csv(tmp_path / "marks.csv", header, rows)
+    got = extracts.read_extract(spark, path, ATTENDANCE_EXTRACT).orderBy("_row")
+    assert [tuple(r)[:3] for r in got.collect()] == [
+        ("2025/01/01", "1", "Present"), ("2025/01/01", "2", None), (None, "3", None),
+        ("2025\\01", " 4 ", 'say "no", twice'), ("2025/01/01", "5", " "),
+    ]
+
+
+def test_csv_without_a_column(spark, tmp_path):
+    path = write_csv(tmp_path / "marks.csv", ("Date", "PupilID"), [("2025/01/01", "1")])
+    with pytest.raises(ValueError, match="Attendance"):
+        extracts.read_extract(spark, path, ATTENDANCE_EXTRACT)
+
+
+def test_csv_line_breaks_in_cells(spark, tmp_path):
+    path = write_csv(tmp_path / "marks.csv", ATTENDANCE_EXTRACT, [("2025/01/01", "1", "a\nb"), ("2025/01/01", "2", "c")])
+    got = extracts.read_extract(spark, path, ATTENDANCE_EXTRACT, multiline=True)
+    assert sorted(r["Attendance"] for r in got.collect()) == ["a\nb", "c"]
+
+
+def test_first_row_of_a_split_file_wins(spark, store, tmp_path):
+    rows = [(text(1 + i % 3), str(i % 40), f"mark {i}") for i in range(4000)]
+    path = write_csv(tmp_path / "marks.csv", ATTENDANCE_EXTRACT, rows)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        got = extracts.read_extract(spark, path, ATTENDANCE_EXTRACT)
+        assert got.rdd.getNumPartitions() > 4
+        store.replace("raw_pupil_attendance", got)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    stage.load_stage(store)
+    first = {}
+    for when, pupil, mark in rows:
+        first.setdefault((int(when[-2:]), int(pupil)), mark)
+    staged = store.read("stg_pupil_attendance").collect()
+    assert {(r["attendance_date"].day, r["pupil_id"]): r["attendance"] for r in staged} == first
+
+
+# Stage and dimensions
+
+def test_blank_and_unreadable_ids(store, raw):
+    put(store, raw(snapshot(text(1), "  "), snapshot(text(2), "abc")), raw.marks((text(1), "  ", "x"), (text(2), "abc", "x")))
+    assert sorted((r["snapshot_date"].day, r["pupil_id"]) for r in store.read("stg_pupil").collect()) == [(1, 0), (2, 0)]
+    assert [(r["attendance_date"].day, r["pupil_id"]) for r in store.read("stg_pupil_attendance").collect()] == [(2, 0)]
+
+
+def test_unreadable_ids_rejected(store, raw):
+    store.replace("raw_pupil", raw(snapshot(text(1), "abc"), snapshot(text(1), "7")))
+    store.replace("raw_pupil_attendance", raw.marks((text(1), "x", "Present")))
+    pupils, marks = stage.load_stage(store, "reject")
+    assert (pupils.rejected, pupils.inserted, marks.rejected, marks.inserted) == (1, 1, 1, 0)
+
+
+def keys(store, table, key, natural):
+    return {r[natural]: r[key] for r in store.read(table).collect()}
+
+
+def test_dimension_members_and_keys(store, raw):
+    put(store, raw(
+        snapshot(text(2), "5", "South", "New", "Name", grade_id="2", grade="Primary 2", stream="b"),
+        snapshot(text(1), "5", "North", "Old", "Name", grade_id="2", grade="PRIMARY1", stream="b"),
+        snapshot(text(1), "9", None, grade_id="3", grade="Nursery", stream=" "),
+    ), raw.marks())
+    assert keys(store, "dim_pupil", "pupil_key", "pupil_id") == {5: 1, 9: 2}
+    assert store.read("dim_pupil").where("pupil_id = 5").first()["first_name"] == "Old"
+    assert keys(store, "dim_academy", "academy_key", "academy_name") == {"North": 1, "South": 2}
+    assert [tuple(r) for r in store.read("dim_grade").collect()] == [(1, 2, "Primary 1")]
+    assert keys(store, "dim_stream", "stream_key", "stream") == {"B": 1}
+    assert [r["date_key"] for r in store.read("dim_date").orderBy("date").collect()] == [20250101, 20250102]
+
+    # A later delivery: known members keep key and attributes, new ones follow on in their own order.
+    put(store, raw(
+        snapshot(text(3), "8", "Aachen"), snapshot(text(3), "1", "North"), snapshot(text(3), "5", "South", "Newest"),
+    ), raw.marks())
+    assert keys(store, "dim_pupil", "pupil_key", "pupil_id") == {5: 1, 9: 2, 1: 3, 8: 4}
+    assert store.read("dim_pupil").where("pupil_id = 5").first()["first_name"] == "Old"
+    assert keys(store, "dim_academy", "academy_key", "academy_name") == {"North": 1, "South": 2, "Aachen": 3}
+    _, added = put(store, raw(snapshot(text(3), "8", "Aachen")), raw.marks())
+    assert added == {}
+
+
+def test_dimensions_after_a_cut_off_run(store, raw, monkeypatch):
+    pupils, marks = school(raw, [1, 2])
+    with monkeypatch.context() as broken:
+        broken.setattr(daily, "load_dims", lambda *_: (_ for _ in ()).throw(RuntimeError("executor lost")))
+        with pytest.raises(RuntimeError):
+            put(store, pupils, marks)
+    assert store.read("dim_pupil").count() == 0
+    put(store, *school(raw, [2]))  # nothing new to stage, but the members are still missing
+    assert store.read("dim_pupil").count() == 3
+    assert store.read("dim_date").count() == 2
+
+
+# Daily fact
+
+def test_daily_loads_and_history_agree(store, raw, spark, tmp_path):
+    put(store, *school(raw, [1, 2, 3]))
+    for n in (1, 2, 3):
+        result = fact.load_next(store, f"b{n}")
+        assert (result.target, result.inserted, result.stalled) == (day(n), 3, False)
+    done = fact.load_next(store, "b4")
+    assert (done.target, done.inserted, done.stalled) == (day(4), 0, False)
+    other = store.branch(str(tmp_path / "other"), [FACT])
+    batch = F.concat(F.lit("b"), F.dayofmonth("fact_date").cast("string"))
+    assert fact.load_history(other, lambda _: batch).inserted == 9
+    assert sorted(map(tuple, other.read(FACT).collect())) == sorted(map(tuple, store.read(FACT).collect()))
+    with pytest.raises(RuntimeError):
+        fact.load_history(other, lambda _: batch)
+
+
+def test_unknown_attributes_give_null_keys(store, raw):
+    put(store, raw(snapshot(text(1), "1", " ", grade="Nursery", stream=None)), raw.marks((text(1), "1", None)))
+    fact.load_next(store, "b")
+    row = store.read(FACT).first()
+    assert (row["academy_key"], row["grade_key"], row["stream_key"], row["attendance"]) == (None, None, None, None)
+
+
+def test_gap_stalls_strict_and_not_next_available(store, raw, tmp_path):
+    put(store, *school(raw, [1, 2, 4, 5]))
+    other = store.branch(str(tmp_path / "other"), [FACT])
+    history = store.branch(str(tmp_path / "history"), [FACT])
+    results = [fact.load_next(store, "b") for _ in range(4)]
+    assert [r.inserted for r in results] == [3, 3, 0, 0]
+    assert [r.stalled for r in results] == [False, False, True, True]
+    results = [fact.load_next(other, "b", fact.NEXT_AVAILABLE) for _ in range(5)]
+    assert [r.target.day for r in results[:4]] == [1, 2, 4, 5]
+    assert (results[4].inserted, results[4].stalled) == (0, False)
+    fact.load_history(history, lambda d: d.cast("string"))
+    assert fact_days(history) == fact_days(store) == {1: 3, 2: 3}
+
+
+def test_day_whose_marks_join_nobody(store, raw, tmp_path):
+    pupils, _ = school(raw, [1, 2, 3])
+    marks = raw.marks(*[(text(d), p, "Present") for d, p in ((1, "1"), (2, "77"), (3, "1"))])
+    put(store, pupils, marks)
+    other = store.branch(str(tmp_path / "other"), [FACT])
+    strict = [fact.load_next(store, "b") for _ in range(3)]
+    assert [(r.inserted, r.stalled) for r in strict] == [(1, False), (0, True), (0, True)]
+    assert [fact.load_next(other, "b", fact.NEXT_AVAILABLE).target.day for _ in range(2)] == [1, 3]
+    for advance, days in ((fact.STRICT, {1: 1}), (fact.NEXT_AVAILABLE, {1: 1, 3: 1})):
+        history = store.branch(str(tmp_path / advance), [FACT])
+        assert fact.load_history(history, lambda d: d.cast("string"), advance).inserted == len(days)
+        assert fact_days(history) == days
+
+
+def test_cut_off_history_is_undone(store, raw):
+    put(store, *school(raw, [1, 2, 3]))
+    store.open_step("history")
+    store.put_days(FACT, fact.build_day(store, day(2), "lost"))
+    assert fact.load_next(store, "b").target == day(1)
+    assert fact_days(store) == {1: 3}
+
+
+def test_load_arguments(store, raw):
+    with pytest.raises(ValueError):
+        fact.load_next(store, "")
+    with pytest.raises(ValueError):
+        fact.load_next(store, "b", "sometimes")
+    nothing = fact.load_next(store, "b")
+    assert (nothing.target, nothing.inserted, nothing.stalled) == (None, 0, False)
+
+
+def test_target_date(store, raw, spark):
+    put(store, *school(raw, [30, 31]))
+    dates = store.read("dim_date")
+    assert fact.target_date(store.read(FACT), dates).collect()[0][0] == day(30)
+    fact.load_next(store, "b"), fact.load_next(store, "b")
+    assert fact.target_date(store.read(FACT), dates).collect()[0][0] == date(2025, 2, 1)
+    empty = Store(spark, store.root + "-empty")
+    assert fact.target_date(empty.read(FACT), empty.read("dim_date")).collect()[0][0] is None
+
+
+def test_late_rows(store, raw):
+    put(store, raw(snapshot(text(1), "1"), snapshot(text(2), "1"), snapshot(text(2), "2")),
+        raw.marks((text(1), "1", "Present"), (text(1), "2", "Absent"), (text(2), "1", "Present")))
+    for _ in range(2):
+        fact.load_next(store, "b")
+    assert fact.late_rows(store).collect() == []
+    put(store, raw(snapshot(text(1), "2"), snapshot(text(3), "2")), raw.marks((text(3), "2", "Present")))
+    assert [tuple(r) for r in fact.late_rows(store).collect()] == [(day(1), 2, "Absent")]
+    fact.load_next(store, "b")
+    assert fact_days(store) == {1: 1, 2: 1, 3: 1}
+
+
+def test_load_summary(store, raw):
+    put(store, *school(raw, [1, 2]))
+    fact.load_next(store, "b")
+    result = fact.load_next(store, "b")
+    assert tuple(fact.load_summary(store, result).first()) == ("INCREMENTAL LOAD RESULT", 6, day(2), 3)
+
+
+# Whole runs and maintenance
+
+def test_daily_runs_from_csv(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    pupils, marks = [], []
+    for n in (1, 2, 3):
+        pupils += [(text(n), f" School {p % 2} ", p, "A", "NA", "B", "In", p % 3, f"primary{1 + p % 3}", "x") for p in range(6)]
+        marks += [(text(n), p, "Present" if p else "Absent") for p in range(6)]
+        files = (
+            write_csv(tmp_path / f"pupils{n}.csv", PUPIL_EXTRACT, pupils),
+            write_csv(tmp_path / f"marks{n}.csv", ATTENDANCE_EXTRACT, marks),
+        )
+        result = daily.run_daily(store, *files, new_batch_id())
+        assert result.raw == {"raw_pupil": 6 * n, "raw_pupil_attendance": 6 * n}
+        assert [s.inserted for s in result.stage] == [6, 6]
+        assert (result.fact.target, result.fact.inserted) == (day(n), 6)
+    again = daily.run_daily(store, *files, new_batch_id())
+    assert [s.inserted for s in again.stage] == [0, 0] and again.dims == {} and again.fact.inserted == 0
+    counts = {r["table_name"]: r["row_count"] for r in store.row_counts().collect()}
+    assert counts == {
+        "raw_pupil": 18, "raw_pupil_attendance": 18, "stg_pupil": 18, "stg_pupil_attendance": 18, "dim_date": 3,
+        "dim_pupil": 6, "dim_academy": 2, "dim_grade": 3, "dim_stream": 1, FACT: 18,
+    }
+    assert store.read(FACT).select("prcs_id").distinct().count() == 3
+
+    store.truncate_all()
+    assert {r["row_count"] for r in store.row_counts().collect()} == {0}
+    daily.run_daily(store, *files, new_batch_id())
+    assert sorted(r["pupil_key"] for r in store.read("dim_pupil").collect()) == [1, 2, 3, 4, 5, 6]
+    assert fact_days(store) == {1: 6}
+    store.drop_all()
+    store.drop_all()
+    assert not any(store.exists(t.name) for t in WAREHOUSE)
+
+
+def test_create_missing(store, raw):
+    assert len(store.create_missing()) == 10
+    assert store.create_missing() == []
+    assert store.read("dim_pupil").count() == 0
+    assert store.read(FACT).columns[0] == "fact_date"
+
+
+def test_table_order(store):
+    ordered = store.row_counts().orderBy(*layer_order()).collect()
+    assert [r["table_name"] for r in ordered] == [
+        "raw_pupil", "raw_pupil_attendance", "stg_pupil", "stg_pupil_attendance",
+        "dim_academy", "dim_date", "dim_grade", "dim_pupil", "dim_stream", FACT,
+    ]
+
+
+def test_layer_order_ignores_case_and_takes_any_fourth_letter(spark):
+    rows = spark.createDataFrame([("other",), ("RAW_x",), ("rawXx",), ("fact_a",)], "table_name string")
+    assert [r[0] for r in rows.orderBy(*layer_order()).collect()] == ["RAW_x", "rawXx", "fact_a", "other"]
+
+
+def test_a_branch_does_not_write_to_its_base(store, raw, tmp_path):
+    put(store, *school(raw, [1]))
+    branch = store.branch(str(tmp_path / "branch"), [FACT])
+    fact.load_next(branch, "b")
+    assert store.read(FACT).count() == 0
+    with pytest.raises(PermissionError):
+        branch.append("dim_pupil", store.read("dim_pupil"))
+    with pytest.raises(PermissionError):
+        branch.truncate_all()
+
+
+def test_days_come_from_the_listing(store, raw):
+    put(store, *school(raw, [3, 1, 2]))
+    assert store.days("stg_pupil") == [day(1), day(2), day(3)]
+    assert store.read("stg_pupil", [day(2)]).select("snapshot_date").distinct().collect()[0][0] == day(2)
+    assert store.read("stg_pupil", []).count() == 0
+    assert store.days(FACT) == []
+    assert day(1) + timedelta(days=1) == day(2)
