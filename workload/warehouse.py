@@ -43,11 +43,19 @@ STEPS = {
 }
 
 
+def fresh(spark: SparkSession) -> Store:
+    return Store(spark, new_root(spark))
+
+
+def keep(spark: SparkSession, sf_dir: str, store: Store) -> None:
+    _built[spark.sparkContext.applicationId, sf_dir] = store
+
+
 def loaded(spark: SparkSession, sf_dir: str) -> Store:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _built:
-        store = Store(spark, new_root(spark))
+        store = fresh(spark)
         for step in STEPS.values():
             step(store, sf_dir)
-        _built[key] = store
+        keep(spark, sf_dir, store)
     return _built[key]
