@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 
 def parse_ymd(text: Column) -> Column:
-    """Date from positions 1-4, 6-7 and 9-10; any separators, trailing text ignored, NULL if impossible."""
+    """Date from positions 1-4, 6-7 and 9-10; any separators, trailing text ignored, NULL if impossible.
+
+    The cast wants four year digits and lets only a day of one digit or with a blank behind it pass, so the
+    last position is checked apart.
+    """
     iso = F.concat(
         F.substring(text, 1, 4), F.lit("-"), F.substring(text, 6, 2), F.lit("-"), F.substring(text, 9, 2)
     )
-    return F.when(iso.rlike(r"^\d{4}-\d{2}-\d{2}$"), iso.try_cast("date"))
+    return F.when(F.substring(text, 10, 1).between("0", "9"), iso.try_cast("date"))
 
 
 def date_key(day: Column) -> Column:

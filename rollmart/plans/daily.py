@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
+from ..functions.calendar import new_batch_id
 from ..operators.keyed import InsertResult
 from ..sources.extracts import load_raw
 from ..sources.store import Store
@@ -64,9 +65,19 @@ def run_daily(
 
 def run_reporting(
     store: Store, target, mode: str = FULL, batch_id: str | None = None, day: date | None = None,
-    severity: str = "error",
+    severity: str = "error", rebuild: bool = False,
 ) -> ReportingResult:
     """Publish the tables, build the marts, and only then test them; a failing test fails the run."""
     synced = sync_all(store, target, mode, batch_id, day)
-    marts = build_marts(store)
+    marts = build_marts(store, rebuild)
     return ReportingResult(synced, marts, run_checks(store, severity))
+
+
+def run_day(
+    store: Store, pupil_csv: str, attendance_csv: str, target, mode: str = FULL, severity: str = "error", **options
+) -> tuple[DailyResult, ReportingResult]:
+    """A daily run and the reporting run it hands its batch id to."""
+    batch_id = new_batch_id()
+    loaded = run_daily(store, pupil_csv, attendance_csv, batch_id, **options)
+    day = loaded.fact.target if loaded.fact.inserted else None
+    return loaded, run_reporting(store, target, mode, batch_id, day, severity)

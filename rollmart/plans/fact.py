@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keyed import unknown_keys
-from ..schemas import DIM_DATE, FACT, STG_ATTENDANCE, STG_PUPIL
+from ..schemas import DIM_DATE, FACT, MART_RATE, STG_ATTENDANCE, STG_PUPIL
 from ..sources.store import Store
 
 STRICT, NEXT_AVAILABLE = "strict", "next_available"
@@ -84,6 +84,7 @@ def _heal(store: Store) -> None:
     # A history load starts from an empty fact, so all that a cut-off one left behind is its own.
     if store.folders.exists(f"{store.root}/_open-history"):
         store.folders.remove(store.path(FACT.name))
+        store.forget(MART_RATE.name)
         store.close_step("history")
 
 
@@ -175,15 +176,16 @@ def load_summary(store: Store, result: LoadResult) -> DataFrame:
     )
 
 
-def late_rows(store: Store) -> DataFrame:
-    """Staged rows with a mark whose day the fact has already passed without them."""
+def late_rows(store: Store, since: date | None = None) -> DataFrame:
+    """Staged rows with a mark whose day the fact has already passed without them; days from ``since`` on."""
     loaded = store.days(FACT.name)
-    passed = [day for day in _stage_days(store) if loaded and day <= loaded[-1]]
+    passed = [day for day in _stage_days(store) if loaded and day <= loaded[-1] and (not since or day >= since)]
     joined = staged_with_marks(
         store.read(STG_PUPIL.name, passed).select("snapshot_date", "pupil_id"),
         store.read(STG_ATTENDANCE.name, passed),
     )
-    known = store.read(FACT.name).select(F.col("fact_date").alias("snapshot_date"), "pupil_key").join(
+    fact = store.read(FACT.name, [day for day in loaded if day in set(passed)])
+    known = fact.select(F.col("fact_date").alias("snapshot_date"), "pupil_key").join(
         store.read("dim_pupil").select("pupil_key", "pupil_id"), "pupil_key"
     )
     return unknown_keys(joined, known, STG_PUPIL.key).select("snapshot_date", "pupil_id", "attendance")

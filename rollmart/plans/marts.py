@@ -98,16 +98,29 @@ def positioned(rows: DataFrame, order: list, scratch: Scratch, count: int | None
     return number_rows(rows, order, "pos", scratch, count)
 
 
-def build_marts(store: Store) -> dict[str, int]:
-    """Build and store all marts; the weekday mart reads the stored rate mart. Returns rows per mart."""
-    fact, academies = store.read(FACT.name), store.read("dim_academy")
-    built = {}
-    rates = attendance_rate(fact, academies, store.read("dim_grade"), store.read("dim_date"))
-    built[MART_RATE.name] = store.replace(MART_RATE.name, rates)["rows"]
+def build_rates(store: Store, rebuild: bool = False) -> int:
+    """Bring the stored rate mart up to the fact; returns the rows written.
+
+    Loaded fact days and known dimension members never change, so only days the mart lacks are computed
+    unless ``rebuild`` asks for all.
+    """
+    loaded, held = store.days(FACT.name), store.days(MART_RATE.name)
+    store.drop_days(MART_RATE.name, [day for day in held if day not in set(loaded)])
+    days = loaded if rebuild else [day for day in loaded if day not in set(held)]
+    if not days:
+        return 0
+    dims = (store.read(name) for name in ("dim_academy", "dim_grade", "dim_date"))
+    rates = attendance_rate(store.read(FACT.name, days), *dims)
+    return store.put_days(MART_RATE.name, rates.hint("rebalance", MART_RATE.day))["rows"]
+
+
+def build_marts(store: Store, rebuild: bool = False) -> dict[str, int]:
+    """Build and store all marts; the weekday mart reads the stored rate mart. Returns rows written per mart."""
+    built = {MART_RATE.name: build_rates(store, rebuild)}
     weekdays = absenteeism_weekday(store.read(MART_RATE.name))
     built[MART_WEEKDAY.name] = store.replace(MART_WEEKDAY.name, weekdays)["rows"]
     with store.scratch() as scratch:
-        ranked = academy_benchmarks(fact, academies, scratch)
+        ranked = academy_benchmarks(store.read(FACT.name), store.read("dim_academy"), scratch)
         built[MART_BENCHMARKS.name] = store.replace(MART_BENCHMARKS.name, ranked)["rows"]
     return built
 

@@ -98,6 +98,7 @@ MART_RATE = Table(
         total_pupils_presented=LONG, year=INT, month=INT, weekday=STRING,
     ),
     key=("fact_date", "academy_name", "grade_name"),
+    day="fact_date",
 )
 MART_WEEKDAY = Table(
     "absenteeism_weekday",

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import TABLES, WAREHOUSE
+from ..schemas import MARTS, TABLES, WAREHOUSE
 from .folders import Folders, Scratch
 
 
@@ -53,8 +53,10 @@ class Store:
             return self.spark.createDataFrame([], table.schema)
         reader = self.spark.read.schema(table.schema)
         if days is None:
-            return reader.parquet(path)
-        return reader.option("basePath", path).parquet(*(f"{path}/{table.day}={day}" for day in days))
+            rows = reader.parquet(path)
+        else:
+            rows = reader.option("basePath", path).parquet(*(f"{path}/{table.day}={day}" for day in days))
+        return rows.select(*table.columns)
 
     def days(self, name: str) -> list[date]:
         """Days a partitioned table holds, from the folder listing alone (no Spark job)."""
@@ -119,16 +121,22 @@ class Store:
             self.folders.make(self._own(name))
         return absent
 
+    def forget(self, name: str) -> None:
+        """Remove a derived table, so that the next build makes all of it; one of another store stays."""
+        if name not in self.elsewhere:
+            self.folders.remove(self.path(name))
+
     def truncate_all(self) -> None:
         """Empty all warehouse tables, fact first; surrogate keys start again at 1."""
-        for table in reversed(WAREHOUSE):
-            self.folders.remove(self._own(table.name))
-            self.folders.make(self._own(table.name))
+        self.drop_all()
+        self.create_missing()
 
     def drop_all(self) -> None:
-        """Drop all warehouse tables, fact first; absent ones are passed over."""
+        """Drop all warehouse tables, fact first; absent ones are passed over. The marts lose their basis."""
         for table in reversed(WAREHOUSE):
             self.folders.remove(self._own(table.name))
+        for table in MARTS:
+            self.forget(table.name)
 
     def row_counts(self) -> DataFrame:
         """Rows per warehouse table."""

@@ -19,6 +19,9 @@ def test_parse_ymd(spark):
         "2025/01/05": date(2025, 1, 5), "2025-01-05": date(2025, 1, 5), "2025/01/05 10:00": date(2025, 1, 5),
         "2025x01y05z": date(2025, 1, 5), "2024/02/29": date(2024, 2, 29),
         "2025/1/5": None, "2025-13-01": None, "2025-02-32": None, "2025-02-30": None, "2025-1/-5": None,
+        "2025/01/5 ": None, "2025/01/5T": None, "2025/01/5": None, "2025/01/ 5": None, "2025/ 1/05": None,
+        " 2025/01/05": None, "+202/01/05": None, "-202/01/05": None, "2025/1 /05": None, "2025/01/0٥": None,
+        "0001/01/01": date(1, 1, 1), "2025/00/10": None, "2025/10/00": None,
         "": None, "20250105": None, "abcd/ef/gh": None,
     }
     assert apply(spark, calendar.parse_ymd, [*texts, None]) == [*texts.values(), None]

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from conftest import snapshot
 from rollmart.functions.calendar import new_batch_id
-from rollmart.plans import daily, dims, fact, stage
+from rollmart.plans import daily, fact, stage, sync
 from rollmart.schemas import ATTENDANCE_EXTRACT, PUPIL_EXTRACT, WAREHOUSE
 from rollmart.sources import extracts
 from rollmart.sources.store import Store, layer_order
+from rollmart.sources.targets import ParquetTarget
 
 FACT = "fact_pupil_attendance_daily"
 
@@ -238,6 +239,7 @@ def test_late_rows(store, raw):
     assert fact.late_rows(store).collect() == []
     put(store, raw(snapshot(text(1), "2"), snapshot(text(3), "2")), raw.marks((text(3), "2", "Present")))
     assert [tuple(r) for r in fact.late_rows(store).collect()] == [(day(1), 2, "Absent")]
+    assert fact.late_rows(store, day(2)).collect() == []
     fact.load_next(store, "b")
     assert fact_days(store) == {1: 1, 2: 1, 3: 1}
 
@@ -284,6 +286,23 @@ def test_daily_runs_from_csv(spark, tmp_path):
     assert not any(store.exists(t.name) for t in WAREHOUSE)
 
 
+def test_a_day_from_files_to_target(spark, tmp_path):
+    store, target = Store(spark, str(tmp_path / "store")), ParquetTarget(spark, str(tmp_path / "target"))
+    files = (
+        write_csv(tmp_path / "p.csv", PUPIL_EXTRACT, [
+            (text(n), "North", p, "A", "", "B", "In", 1, "primary1", "x") for n in (1, 2) for p in (1, 2)]),
+        write_csv(tmp_path / "a.csv", ATTENDANCE_EXTRACT, [(text(n), p, "Present") for n in (1, 2) for p in (1, 2)]),
+    )
+    for n in (1, 2):
+        loaded, reported = daily.run_day(store, *files, target, sync.BATCH_APPEND)
+        assert (loaded.fact.target, reported.failures) == (day(n), [])
+        assert reported.synced[0].rows == 2 and reported.marts["attendance_rate"] == 1
+    published = target.read(FACT, store.read(FACT).schema)
+    assert sorted(map(tuple, published.collect())) == sorted(map(tuple, store.read(FACT).collect()))
+    _, reported = daily.run_day(store, *files, target, sync.BATCH_APPEND)
+    assert reported.synced[0].skipped and published.count() == 4
+
+
 def test_create_missing(store, raw):
     assert len(store.create_missing()) == 10
     assert store.create_missing() == []

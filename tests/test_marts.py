@@ -107,7 +107,24 @@ def test_reading_order(star):
 
 def test_rebuilt_marts_replace_the_old_ones(star):
     store, _ = star
-    assert marts.build_marts(store) == marts.build_marts(store)
+    first = marts.build_marts(store)
+    assert marts.build_marts(store, rebuild=True) == first
+    assert store.read("attendance_rate").count() == first["attendance_rate"]
+
+
+def test_rate_mart_follows_the_days_of_the_fact(star):
+    store, facts = star
+    first = marts.build_marts(store)
+    assert marts.build_marts(store) == {**first, "attendance_rate": 0}
+    store.drop_days(FACT, DAYS[3:4])
+    store.drop_days("attendance_rate", DAYS[5:6])
+    marts.build_marts(store)
+    want = rates([f for f in facts if f[0] != DAYS[3]])
+    rows = store.read("attendance_rate").collect()
+    assert {(r["fact_date"], r["academy_name"], r["grade_name"]): (r["attendance_rate"], r["total_pupils_presented"])
+            for r in rows} == want
+    store.truncate_all()
+    assert not store.days("attendance_rate")
 
 
 def test_example_models(spark):

@@ -270,6 +270,14 @@ FROM fact WHERE fact_date <= DATE '2024-01-02'"""),
 SELECT s.snapshot_date, s.pupil_id, m.attendance
 FROM stg_pupil s JOIN stg_marks m ON m.attendance_date = s.snapshot_date AND m.pupil_id = s.pupil_id
 WHERE s.snapshot_date <= DATE '2024-01-05' AND s.stream = 'BUILDING'"""),
+    "daily_run": over("SELECT * FROM fact WHERE fact_date <= DATE '2024-01-02'"),
+    "reporting_run": over("SELECT * FROM (\n" + union(
+        null_check("attendance_rate", "rate", "fact_date academy_name grade_name attendance_rate total_pupils_presented")
+        + null_check("absenteeism_weekday", "weekdays", "weekday avg_absenteeism_rate avg_daily_pupils academies_count")
+        + null_check("academy_benchmarks", "benchmarks",
+                     "academy_name overall_attendance_rate total_unique_pupils rank")
+        + [repeat_check("absenteeism_weekday", "weekdays", "weekday", "unique")]
+    ) + "\n) WHERE failures > 0"),
     "mart_attendance_rate": over("SELECT * FROM rate"),
     "mart_absenteeism_weekday": over("SELECT * FROM weekdays"),
     "mart_academy_benchmarks": over("SELECT * FROM benchmarks"),

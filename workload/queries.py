@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from rollmart.functions import calendar, cleaning
 from rollmart.operators.keyed import insert_ignore, unknown_keys
-from rollmart.plans import checks, dims, fact, marts, sqlfile, stage, sync
-from rollmart.schemas import ATTENDANCE_EXTRACT, FACT, PUPIL_EXTRACT, STG_ATTENDANCE, STG_PUPIL, TABLES
+from rollmart.plans import checks, daily, dims, fact, marts, sqlfile, stage, sync
+from rollmart.schemas import ATTENDANCE_EXTRACT, FACT, MARTS, PUPIL_EXTRACT, STG_ATTENDANCE, STG_PUPIL, TABLES
 from rollmart.sources import extracts
 from rollmart.sources.folders import Scratch
 from rollmart.sources.store import Store, layer_order
@@ -380,6 +380,30 @@ def late_rows_report(spark, sf_dir):
     return fact.late_rows(store)
 
 
+# Whole runs
+
+@query
+def daily_run(spark, sf_dir):
+    """Two daily runs from extract files: all steps, and the fact after its second day."""
+    scratch, store = Scratch(spark), Store(spark, new_root(spark))
+    pupils = deliver(views.raw_pupil(spark, sf_dir).orderBy("_row"), PUPIL_EXTRACT, scratch.path("pupils"))
+    marks = deliver(views.raw_attendance(spark, sf_dir).orderBy("_row"), ATTENDANCE_EXTRACT, scratch.path("marks"))
+    for n in (1, 2):
+        daily.run_daily(store, pupils, marks, day_batch(date(2024, 1, n)))
+    return store.read(FACT.name)
+
+
+@query
+def reporting_run(spark, sf_dir):
+    """Publish, build the marts and list the failing tests instead of raising."""
+    own = [table.name for table in MARTS]
+    store = loaded(spark, sf_dir).branch(new_root(spark), own)
+    result = daily.run_reporting(store, ParquetTarget(spark, new_root(spark)), severity="warn")
+    return spark.createDataFrame(
+        result.failures, "table_name string, column_name string, test string, failures bigint"
+    )
+
+
 # Marts
 
 @query
