@@ -8,7 +8,8 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import ROW_ORDER, TABLES
+from ..schemas import ROW_ORDER, TABLES, Table
+from ..sources.folders import Scratch
 from ..sources.store import Store
 
 
@@ -45,6 +46,23 @@ def unknown_keys(rows: DataFrame, known: DataFrame, key: tuple[str, ...]) -> Dat
     return rows.join(known.select(*key), list(key), "left_anti")
 
 
+def possibly_new(
+    rows: DataFrame, known: DataFrame, table: Table, days: list[date], other_days: bool, scratch: Scratch
+) -> DataFrame | None:
+    """The rows of days the table lacks, and of its own ``days`` the rows with a key it lacks; None if neither.
+
+    A full-refresh extract mostly brings rows that are known. Only their distinct keys are shuffled to find that
+    out; whole rows are sorted and shuffled later, when just the new ones are left.
+    """
+    of_known_day = F.col(table.day).isin(days)
+    keys = rows.where(of_known_day).select(*table.key).distinct()
+    fresh, count = scratch.keep_counted(unknown_keys(keys, known, table.key), "keys")
+    if not count:
+        return rows.where(~of_known_day) if other_days else None
+    marked = rows.join(fresh.withColumn("_fresh", F.lit(True)), list(table.key), "left")
+    return marked.where(~of_known_day | F.col("_fresh")).drop("_fresh")
+
+
 def insert_ignore(
     store: Store, name: str, rows: DataFrame, order: tuple[str, ...] = ROW_ORDER
 ) -> InsertResult:
@@ -55,24 +73,25 @@ def insert_ignore(
     """
     table = TABLES[name]
     usable = all_present(table.required)
-    day = F.when(usable, F.col(table.day))
-    # One pass over the key columns only; its bounds decide which days of the target are read at all.
-    profile = rows.agg(
-        F.count(F.lit(1)).alias("offered"), F.count_if(usable).alias("usable"),
-        F.min(day).alias("first"), F.max(day).alias("last"),
-    ).first()
-    rejected = profile["offered"] - profile["usable"]
-    if not profile["usable"]:
-        return InsertResult(name, profile["offered"], rejected, 0)
-
-    fresh = first_per_key(rows.where(usable), table.key, order).select(*table.columns)
-    shared_days = [d for d in store.days(name) if profile["first"] <= d <= profile["last"]]
-    if shared_days:
-        fresh = unknown_keys(fresh, store.read(name, shared_days), table.key)
-    # Even files per day: small shuffle partitions are merged and a hot day is split.
-    counted = store.append(
-        name, fresh.hint("rebalance", table.day), first=F.min(table.day), last=F.max(table.day)
-    )
-    return InsertResult(
-        name, profile["offered"], rejected, counted["rows"], counted["first"], counted["last"]
-    )
+    # One pass over the key columns; one row per calendar day comes to the driver and tells which days of the
+    # target are read at all.
+    per_day = rows.groupBy(F.when(usable, F.col(table.day)).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
+    profile = {r["day"]: r["rows"] for r in per_day.collect()}
+    offered, rejected = sum(profile.values()), profile.pop(None, 0)
+    nothing = InsertResult(name, offered, rejected, 0)
+    if not profile:
+        return nothing
+
+    rows = rows.where(usable)
+    days = [d for d in store.days(name) if d in profile]
+    with store.scratch() as scratch:
+        if days:
+            rows = possibly_new(rows, store.read(name, days), table, days, len(days) < len(profile), scratch)
+        if rows is None:
+            return nothing
+        fresh = first_per_key(rows, table.key, order).select(*table.columns)
+        # Even files per day: small shuffle partitions are merged and a hot day is split.
+        counted = store.append(
+            name, fresh.hint("rebalance", table.day), first=F.min(table.day), last=F.max(table.day)
+        )
+    return InsertResult(name, offered, rejected, counted["rows"], counted["first"], counted["last"])

@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Key columns unpack to several times their file size; broadcasts are judged by the unpacked size.
+    "spark.sql.sources.fileCompressionFactor": "4.0",
 }
 
 

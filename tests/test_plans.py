@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from conftest import snapshot
 from rollmart.operators import keyed
 from rollmart.plans import checks, daily, dims, fact, marts, stage
+from rollmart.schemas import STG_PUPIL
+from rollmart.sources.folders import Scratch
+from rollmart.sources.store import Store
 
 FACT = "fact_pupil_attendance_daily"
 
@@ -19,8 +22,9 @@ def plan(frame) -> str:
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.fixture
-def loaded(store, raw):
+@pytest.fixture(scope="module")
+def loaded(spark, raw, tmp_path_factory):
+    store = Store(spark, str(tmp_path_factory.mktemp("store")))
     days = [f"2025/01/{n:02d}" for n in (1, 2, 3)]
     store.replace("raw_pupil", raw(*[snapshot(d, p) for d in days for p in "123"]))
     store.replace("raw_pupil_attendance", raw.marks(*[(d, p, "Present") for d in days for p in "123"]))
@@ -54,13 +58,42 @@ def test_a_day_reads_one_folder_and_shuffles_by_pupil_once(loaded, no_broadcast)
     assert len(re.findall(r"Exchange hashpartitioning\(pupil_id", plan(frame))) == 3
 
 
-def test_staging_shuffles_the_batch_once(loaded, no_broadcast):
-    rows = stage.clean_pupil(loaded.read("raw_pupil")).where(keyed.all_present(("snapshot_date", "pupil_id")))
-    fresh = keyed.first_per_key(rows, ("pupil_id", "snapshot_date"), ("_file", "_block", "_row"))
-    text = plan(keyed.unknown_keys(fresh, loaded.read("stg_pupil"), ("pupil_id", "snapshot_date")))
-    # One for the batch (shared by de-duplication and look-up), one for the keys of the target.
-    assert text.count("Exchange ") == 2
+KEY, ORDER = ("pupil_id", "snapshot_date"), ("_file", "_block", "_row")
+
+
+def usable_rows(store):
+    return stage.clean_pupil(store.read("raw_pupil")).where(keyed.all_present(("snapshot_date", "pupil_id")))
+
+
+def new_rows(store, rows, scratch):
+    days = store.days("stg_pupil")
+    return keyed.possibly_new(rows, store.read("stg_pupil", days), STG_PUPIL, days, True, scratch)
+
+
+def test_first_load_shuffles_the_batch_once(loaded, no_broadcast):
+    text = plan(keyed.first_per_key(usable_rows(loaded), KEY, ORDER))
+    assert text.count("Exchange ") == 1
+
+
+def test_a_refresh_without_new_keys_joins_nothing(loaded, spark):
+    text = plan(new_rows(loaded, usable_rows(loaded), Scratch(spark)))
+    assert "Join" not in text and "Exchange" not in text
+
+
+def test_a_refresh_moves_only_new_rows(loaded, spark, raw):
+    more = stage.clean_pupil(raw(*[snapshot(f"2025/01/{n:02d}", p) for n in (2, 9) for p in "1234"]))
+    fresh = new_rows(loaded, more, Scratch(spark))
+    # Small key sets are broadcast: the rows stay where they are until the known ones are gone.
+    assert "Exchange hash" not in plan(fresh) and "BroadcastHashJoin" in plan(fresh)
+    got = sorted((r["snapshot_date"].day, r["pupil_id"]) for r in fresh.collect())
+    assert got == [(2, 4), (9, 1), (9, 2), (9, 3), (9, 4)]
+
+
+def test_a_refresh_reads_only_the_keys_of_the_stage(loaded, no_broadcast):
+    keys = usable_rows(loaded).select(*KEY).distinct()
+    text = plan(keyed.unknown_keys(keys, loaded.read("stg_pupil"), KEY))
     assert re.search(r"FileScan parquet \[pupil_id#\d+L,snapshot_date#\d+\]", text)
+    assert text.count("Exchange ") == 2
 
 
 def test_rates_are_summed_before_any_join(loaded, no_broadcast):
