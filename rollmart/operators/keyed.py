@@ -19,8 +19,7 @@ class InsertResult:
     offered: int
     rejected: int
     inserted: int
-    first_day: date | None = None
-    last_day: date | None = None
+    days: tuple[date, ...] = ()
 
 
 def all_present(columns: tuple[str, ...]) -> Column:
@@ -91,7 +90,5 @@ def insert_ignore(
             return nothing
         fresh = first_per_key(rows, table.key, order).select(*table.columns)
         # Even files per day: small shuffle partitions are merged and a hot day is split.
-        counted = store.append(
-            name, fresh.hint("rebalance", table.day), first=F.min(table.day), last=F.max(table.day)
-        )
-    return InsertResult(name, offered, rejected, counted["rows"], counted["first"], counted["last"])
+        written = store.append(name, fresh.hint("rebalance", table.day))
+    return InsertResult(name, offered, rejected, written["rows"], tuple(written["days"]))

@@ -45,7 +45,7 @@ def load_stage_and_dims(
     if cut_off:
         added = load_dims(store)
     elif pupils.inserted:
-        added = load_dims(store, (pupils.first_day, pupils.last_day))
+        added = load_dims(store, pupils.days)
     else:
         added = {}
     store.close_step("stage")

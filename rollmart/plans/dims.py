@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from datetime import date
 
@@ -88,13 +88,13 @@ def extend_calendar(store: Store) -> int:
     return store.append(DIM_DATE.name, fresh)["rows"]
 
 
-def load_dims(store: Store, days: tuple[date, date] | None = None) -> dict[str, int]:
+def load_dims(store: Store, days: Collection[date] | None = None) -> dict[str, int]:
     """Extend all dimensions; returns the new members of each.
 
     ``days`` limits the work to the stage days that received rows; without it the whole stage is read.
     """
     held = store.days(STG_PUPIL.name)
-    stage = store.read(STG_PUPIL.name, [d for d in held if not days or days[0] <= d <= days[1]])
+    stage = store.read(STG_PUPIL.name, [day for day in held if days is None or day in days])
     added = {DIM_DATE.name: extend_calendar(store), PUPIL.table: extend_dimension(store, PUPIL, stage)}
     with store.scratch() as scratch:
         sets = scratch.keep(attribute_sets(stage), "attribute_sets")

@@ -75,30 +75,35 @@ class Store:
 
     # writing
 
-    def _write(self, name: str, rows: DataFrame, mode: str, counted: dict, **options: str) -> dict:
+    def _write(self, name: str, rows: DataFrame, mode: str, **options: str) -> dict:
         table = TABLES[name]
         seen = Observation()
-        measures = [F.count(F.lit(1)).alias("rows"), *(agg.alias(label) for label, agg in counted.items())]
+        measures = [F.count(F.lit(1)).alias("rows")]
+        if table.day:
+            # As many values as calendar days, written as one text.
+            measures.append(F.concat_ws(",", F.collect_set(F.col(table.day).cast("string"))).alias("days"))
         writer = rows.select(*table.columns).observe(seen, *measures).write.mode(mode).options(**options)
         if table.day:
             writer = writer.partitionBy(table.day)
         writer.parquet(self._own(name))
-        return seen.get
+        result = seen.get
+        days = sorted(date.fromisoformat(day) for day in result.get("days", "").split(",") if day)
+        return {"rows": result["rows"], "days": days}
 
-    def append(self, name: str, rows: DataFrame, **counted) -> dict:
-        """Add rows; returns the row count and the extra aggregates, measured in the writing stage itself."""
-        return self._write(name, rows, "append", counted)
+    def append(self, name: str, rows: DataFrame) -> dict:
+        """Add rows; returns their number and the days they belong to, measured in the writing stage itself."""
+        return self._write(name, rows, "append")
 
     def replace(self, name: str, rows: DataFrame) -> dict:
         """Overwrite the whole table. ``rows`` must not read the table itself: its files go first."""
-        return self._write(name, rows, "overwrite", {}, partitionOverwriteMode="static")
+        return self._write(name, rows, "overwrite", partitionOverwriteMode="static")
 
     def put_days(self, name: str, rows: DataFrame) -> dict:
         """Write whole days; a day already there is swapped, other days stay.
 
         Each day is staged aside and moved into place as one folder, so a day is there whole or not at all.
         """
-        return self._write(name, rows, "overwrite", {}, partitionOverwriteMode="dynamic")
+        return self._write(name, rows, "overwrite", partitionOverwriteMode="dynamic")
 
     # steps of more than one write
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import snapshot
 from rollmart.functions.calendar import new_batch_id
-from rollmart.plans import daily, fact, stage, sync
+from rollmart.plans import daily, dims, fact, stage, sync
 from rollmart.schemas import ATTENDANCE_EXTRACT, PUPIL_EXTRACT, WAREHOUSE
 from rollmart.sources import extracts
 from rollmart.sources.store import Store, layer_order
@@ -152,6 +152,17 @@ def test_dimensions_after_a_cut_off_run(store, raw, monkeypatch):
     assert store.read("dim_date").count() == 2
 
 
+def test_dimensions_read_only_the_days_given(store, raw):
+    pupils = raw(snapshot(text(1), "1", "North"), snapshot(text(2), "2", "South"), snapshot(text(3), "3", "East"))
+    store.replace("raw_pupil", pupils)
+    store.replace("raw_pupil_attendance", raw.marks())
+    stage.load_stage(store)
+    added = dims.load_dims(store, [day(1), day(3)])
+    assert added == {"dim_date": 3, "dim_pupil": 2, "dim_academy": 2, "dim_grade": 1, "dim_stream": 1}
+    assert keys(store, "dim_academy", "academy_key", "academy_name") == {"East": 1, "North": 2}
+    assert dims.load_dims(store)["dim_pupil"] == 1
+
+
 # Daily fact
 
 def test_daily_loads_and_history_agree(store, raw, spark, tmp_path):

@@ -42,13 +42,14 @@ def test_insert_ignore(store, raw):
     )
     result = keyed.insert_ignore(store, "stg_pupil", stage.clean_pupil(first))
     assert (result.offered, result.rejected, result.inserted) == (5, 2, 2)
-    assert (result.first_day, result.last_day) == (date(2025, 1, 1), date(2025, 1, 1))
+    assert result.days == (date(2025, 1, 1),)
 
     again = keyed.insert_ignore(store, "stg_pupil", stage.clean_pupil(first))
-    assert (again.inserted, again.first_day) == (0, None)
+    assert (again.inserted, again.days) == (0, ())
 
     second = raw(snapshot("2025/01/01", "1", status="new"), snapshot("2025/01/03", "1", status="new"))
-    assert keyed.insert_ignore(store, "stg_pupil", stage.clean_pupil(second)).inserted == 1
+    third = keyed.insert_ignore(store, "stg_pupil", stage.clean_pupil(second))
+    assert (third.inserted, third.days) == (1, (date(2025, 1, 3),))
     rows = {(r["snapshot_date"].day, r["pupil_id"]): r["status"] for r in store.read("stg_pupil").collect()}
     assert rows == {(1, 1): "one", (1, 2): "In", (3, 1): "new"}
 
