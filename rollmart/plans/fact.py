@@ -14,6 +14,7 @@ from ..schemas import DIM_DATE, FACT, MART_RATE, STG_ATTENDANCE, STG_PUPIL
 from ..sources.store import Store
 
 STRICT, NEXT_AVAILABLE = "strict", "next_available"
+# Fixed value: label of the load summary.
 SUMMARY_LABEL = "INCREMENTAL LOAD RESULT"
 
 

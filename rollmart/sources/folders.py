@@ -12,11 +12,11 @@ from ..session import shared_folder
 
 class Folders:
     def __init__(self, spark: SparkSession):
-        self._jvm = spark._jvm
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._conf = spark._jsc.hadoopConfiguration()
 
     def _at(self, path: str):
-        location = self._jvm.org.apache.hadoop.fs.Path(path)
+        location = self._path(path)
         return location.getFileSystem(self._conf), location
 
     def exists(self, path: str) -> bool:

@@ -52,11 +52,13 @@ class Store:
         if days == [] or not self.exists(name):
             return self.spark.createDataFrame([], table.schema)
         reader = self.spark.read.schema(table.schema)
+        if not table.day:
+            return reader.parquet(path)
         if days is None:
             rows = reader.parquet(path)
         else:
             rows = reader.option("basePath", path).parquet(*(f"{path}/{table.day}={day}" for day in days))
-        return rows.select(*table.columns)
+        return rows.select(*table.columns)  # the scan puts the partition column last
 
     def days(self, name: str) -> list[date]:
         """Days a partitioned table holds, from the folder listing alone (no Spark job)."""

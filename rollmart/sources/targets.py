@@ -74,7 +74,20 @@ class JdbcTarget:
         rows.write.format("jdbc").mode(mode).options(**self.settings(name)).save()
         return seen.get["rows"]
 
+    def exists_query(self, name: str) -> str:
+        schema, _, table = name.rpartition(".")
+        query = f"SELECT table_name FROM information_schema.tables WHERE table_name = '{table}'"
+        return f"{query} AND table_schema = '{schema}'" if schema else query
+
+    def exists(self, name: str) -> bool:
+        options = {k: v for k, v in self.options.items() if k != "numPartitions"}
+        found = self.spark.read.format("jdbc").options(**options).option("query", self.exists_query(name)).load()
+        return not found.isEmpty()
+
     def read(self, name: str, schema: T.StructType) -> DataFrame:
+        """The table, or an empty frame before it was first written. Filters on it run in the database."""
+        if not self.exists(name):
+            return self.spark.createDataFrame([], schema)
         rows = self.spark.read.format("jdbc").options(**self.settings(name)).load()
         return rows.select(*(F.col(f.name).cast(f.dataType) for f in schema.fields))
 

@@ -125,6 +125,13 @@ def test_jdbc_settings(spark):
     }
 
 
+def test_jdbc_table_lookup(spark):
+    target = JdbcTarget(spark, "jdbc:postgresql://host/db")
+    base = "SELECT table_name FROM information_schema.tables WHERE table_name = 'dim_date'"
+    assert target.exists_query("dim_date") == base
+    assert target.exists_query("public.dim_date") == base + " AND table_schema = 'public'"
+
+
 def test_statements():
     text = """-- a; comment
     SELECT ';' AS a, "x;y" AS b /* ; */ ; SELECT 'it''s; -- no comment' ;
