@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Collection
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..functions.calendar import calendar_columns
 from ..operators.keyed import all_present, first_per_key, unknown_keys
 from ..operators.numbering import assign_keys
 from ..schemas import DIM_DATE, STG_PUPIL
+from ..session import side_by_side
 from ..sources.store import Store
 
 
@@ -95,9 +97,14 @@ def load_dims(store: Store, days: Collection[date] | None = None) -> dict[str, i
     """
     held = store.days(STG_PUPIL.name)
     stage = store.read(STG_PUPIL.name, [day for day in held if days is None or day in days])
-    added = {DIM_DATE.name: extend_calendar(store), PUPIL.table: extend_dimension(store, PUPIL, stage)}
-    with store.scratch() as scratch:
-        sets = scratch.keep(attribute_sets(stage), "attribute_sets")
-        for dim in ATTRIBUTES:
-            added[dim.table] = extend_dimension(store, dim, sets)
-    return added
+
+    def attributes() -> list[int]:
+        with store.scratch() as scratch:
+            sets = scratch.keep(attribute_sets(stage), "attribute_sets")
+            return side_by_side(*(partial(extend_dimension, store, dim, sets) for dim in ATTRIBUTES))
+
+    calendar_days, pupils, others = side_by_side(
+        lambda: extend_calendar(store), lambda: extend_dimension(store, PUPIL, stage), attributes
+    )
+    names = [DIM_DATE.name, PUPIL.table, *(dim.table for dim in ATTRIBUTES)]
+    return dict(zip(names, [calendar_days, pupils, *others]))

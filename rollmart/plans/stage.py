@@ -9,6 +9,7 @@ from ..functions.calendar import parse_ymd
 from ..functions.cleaning import blank_to_null, grade_name, prefix_int, stream_name
 from ..operators.keyed import InsertResult, insert_ignore
 from ..schemas import RAW_ATTENDANCE, RAW_PUPIL, ROW_ORDER, STG_ATTENDANCE, STG_PUPIL
+from ..session import side_by_side
 from ..sources.store import Store
 
 
@@ -42,4 +43,8 @@ def load_stage(store: Store, unreadable: str = "zero") -> tuple[InsertResult, In
     """Move both raw tables on to the stage; the first row ever seen of a key stays."""
     pupils = clean_pupil(store.read(RAW_PUPIL.name), unreadable)
     marks = clean_attendance(store.read(RAW_ATTENDANCE.name), unreadable)
-    return insert_ignore(store, STG_PUPIL.name, pupils), insert_ignore(store, STG_ATTENDANCE.name, marks)
+    staged = side_by_side(
+        lambda: insert_ignore(store, STG_PUPIL.name, pupils),
+        lambda: insert_ignore(store, STG_ATTENDANCE.name, marks),
+    )
+    return staged[0], staged[1]

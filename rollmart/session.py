@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import lru_cache
+from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -30,6 +34,13 @@ def build(master: str | None = None, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def side_by_side(*steps: Callable[[], Any]) -> list[Any]:
+    """Run independent steps at the same time, so that one's tasks fill the executors the other leaves idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    return [step.result() for step in running]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's own checkpoint folder; a machine-local one only for an unset local session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import marker_to_null
 from ..schemas import ATTENDANCE_EXTRACT, PUPIL_EXTRACT, RAW_ATTENDANCE, RAW_PUPIL
+from ..session import side_by_side
 from .store import Store
 
 CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"'}
@@ -38,7 +39,7 @@ def load_raw(store: Store, pupil_path: str, attendance_path: str, multiline: boo
     spark = store.spark
     pupils = read_extract(spark, pupil_path, PUPIL_EXTRACT, multiline)
     marks = read_extract(spark, attendance_path, ATTENDANCE_EXTRACT, multiline)
-    return {
-        RAW_PUPIL.name: store.replace(RAW_PUPIL.name, pupils)["rows"],
-        RAW_ATTENDANCE.name: store.replace(RAW_ATTENDANCE.name, marks)["rows"],
-    }
+    loaded = side_by_side(
+        lambda: store.replace(RAW_PUPIL.name, pupils)["rows"], lambda: store.replace(RAW_ATTENDANCE.name, marks)["rows"]
+    )
+    return {RAW_PUPIL.name: loaded[0], RAW_ATTENDANCE.name: loaded[1]}
