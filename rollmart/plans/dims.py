@@ -101,10 +101,10 @@ def load_dims(store: Store, days: Collection[date] | None = None) -> dict[str, i
     def attributes() -> list[int]:
         with store.scratch() as scratch:
             sets = scratch.keep(attribute_sets(stage), "attribute_sets")
-            return side_by_side(*(partial(extend_dimension, store, dim, sets) for dim in ATTRIBUTES))
+            return side_by_side(store.spark, *(partial(extend_dimension, store, dim, sets) for dim in ATTRIBUTES))
 
     calendar_days, pupils, others = side_by_side(
-        lambda: extend_calendar(store), lambda: extend_dimension(store, PUPIL, stage), attributes
+        store.spark, lambda: extend_calendar(store), lambda: extend_dimension(store, PUPIL, stage), attributes
     )
     names = [DIM_DATE.name, PUPIL.table, *(dim.table for dim in ATTRIBUTES)]
     return dict(zip(names, [calendar_days, pupils, *others]))

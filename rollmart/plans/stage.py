@@ -44,6 +44,7 @@ def load_stage(store: Store, unreadable: str = "zero") -> tuple[InsertResult, In
     pupils = clean_pupil(store.read(RAW_PUPIL.name), unreadable)
     marks = clean_attendance(store.read(RAW_ATTENDANCE.name), unreadable)
     staged = side_by_side(
+        store.spark,
         lambda: insert_ignore(store, STG_PUPIL.name, pupils),
         lambda: insert_ignore(store, STG_ATTENDANCE.name, marks),
     )

@@ -34,10 +34,10 @@ def build(master: str | None = None, **extra: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def side_by_side(*steps: Callable[[], Any]) -> list[Any]:
+def side_by_side(spark: SparkSession, *steps: Callable[[], Any]) -> list[Any]:
     """Run independent steps at the same time, so that one's tasks fill the executors the other leaves idle."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
     return [step.result() for step in running]
 
 

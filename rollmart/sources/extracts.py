@@ -40,6 +40,7 @@ def load_raw(store: Store, pupil_path: str, attendance_path: str, multiline: boo
     pupils = read_extract(spark, pupil_path, PUPIL_EXTRACT, multiline)
     marks = read_extract(spark, attendance_path, ATTENDANCE_EXTRACT, multiline)
     loaded = side_by_side(
-        lambda: store.replace(RAW_PUPIL.name, pupils)["rows"], lambda: store.replace(RAW_ATTENDANCE.name, marks)["rows"]
+        spark, lambda: store.replace(RAW_PUPIL.name, pupils)["rows"],
+        lambda: store.replace(RAW_ATTENDANCE.name, marks)["rows"]
     )
     return {RAW_PUPIL.name: loaded[0], RAW_ATTENDANCE.name: loaded[1]}
