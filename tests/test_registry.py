@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as entry_points
 from compare import connect, difference
+from workload.oracle import ORACLE
+from workload.queries import REGISTRY as QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +19,8 @@ def con():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
