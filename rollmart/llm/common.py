@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from types import ModuleType
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,3 +30,8 @@ def words(text: Column) -> Column:
 def ratio(part: Column, total: Column) -> Column:
     """part / total, 0 where the total is 0."""
     return F.when(total > 0, part / total).otherwise(0.0)
+
+
+def worker_memory() -> dict:
+    """What a Python worker keeps from one task to the next; it may be gone at any time."""
+    return sys.modules.setdefault("_rollmart_worker_memory", ModuleType("_rollmart_worker_memory")).__dict__

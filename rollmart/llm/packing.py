@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from ..operators.numbering import number_rows
 from ..sources.folders import Scratch
-from .common import whole
+from .common import whole, worker_memory
 
 WINDOW = 1024
 END = 0
 # Distinct words a Python worker remembers the ids of; beyond it the memory starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_200_000
 LONGEST_REMEMBERED = 48
 
 # Signs that the splitting expression keeps together (an apostrophe may begin a part of its own).
@@ -74,27 +74,29 @@ class Encoder:
         found = (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _words(self, words: list[str], before: str) -> dict[str, bytes | None]:
+    def _words(self, words: list[str], before: str, known: dict[str, bytes | None]) -> dict[str, bytes | None]:
         """Ids of each word and the blank before it; None where white space touches that blank or line feed."""
         found: dict[str, bytes | None] = {}
-        single, signs, other = [], [], []
+        signed, heads, tails, other = [], set(), set(), []
         for word in words:
             bare = word[1:] if word[:1] == "\n" else word
             if not bare or bare[0].isspace() or bare[-1].isspace():
                 found[word] = None
                 continue
             head = bare.rstrip(SIGNS)
-            if word is bare and head.isalpha():
-                single.append(word)
-                signs.append(len(bare) - len(head))
-            else:
+            if word is not bare or not head.isalpha():
                 other.append(word)
-        heads = self._encode([before + (w[:-n] if n else w) for w, n in zip(single, signs)], self.unsplit)
-        tails = [w[-n:] for w, n in zip(single, signs) if n]
-        distinct = list(set(tails))
-        tail_ids = dict(zip(distinct, self._encode(distinct, self.unsplit)))
-        for word, n, ids in zip(single, signs, heads):
-            found[word] = ids + tail_ids[word[-n:]] if n else ids
+                continue
+            if head not in known:
+                heads.add(head)
+            if len(head) < len(bare):
+                signed.append((word, head))
+                tails.add(bare[len(head) :])
+        new, ends = list(heads), list(tails)
+        found.update(zip(new, self._encode([before + head for head in new], self.unsplit)))
+        tail_ids = dict(zip(ends, self._encode(ends, self.unsplit)))
+        for word, head in signed:
+            found[word] = (found[head] if head in heads else known[head]) + tail_ids[word[len(head) :]]
         found.update(zip(other, self._encode([w if w[:1] == "\n" else before + w for w in other])))
         return found
 
@@ -102,7 +104,7 @@ class Encoder:
         try:
             return b"".join([known[w] for w in words])
         except KeyError:
-            new = self._words(list({w for w in words if w not in known}), before)
+            new = self._words(list({w for w in words if w not in known}), before, known)
         except TypeError:  # a None among them
             return None
         found = [known[w] if w in known else new[w] for w in words]
@@ -126,7 +128,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW,
     end = np.asarray([END], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(path)
+        memory = worker_memory()
+        encoder = memory["encoder", path] = memory.get(("encoder", path)) or Encoder(path)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
