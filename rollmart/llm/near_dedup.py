@@ -10,8 +10,8 @@ connected components; a document without a near copy is a class of its own.
    lies below c. Points come in ascending order, and a run stops at the text's largest register.
 2. Units that agree in all rows of a band share a bucket. Buckets are worked off in rounds: in each one a bucket compares
    one unit (another one every round) with those that are not in its component yet, so that a group of k copies costs
-   about k comparisons. Links are verified on the whole texts, components are drawn up, and the next round begins. When a
-   round finds nothing, what is left is compared exhaustively, pair by pair between different components only.
+   about k comparisons. Links are verified on the whole texts, components are drawn up, and the next round begins. What
+   the rounds leave is compared completely, between different components only and in blocks where buckets are large.
 
 NULL and blank texts have no runs: equal ones are still one class, others are classes of their own. Repeated rows belong
 to the class of their text. An empty table has no classes.
@@ -42,6 +42,8 @@ LEAST_AGREEING = int(REGISTERS * THRESHOLD - 6 * (REGISTERS * THRESHOLD * (1 - T
 # Words whose texts are hashed together.
 BATCH_WORDS = 300_000
 ROUNDS = 4
+# Buckets of up to LISTED units list their pairs at the end; larger ones are compared BLOCK by BLOCK units.
+LISTED, BLOCK = 32, 1000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(1, SHINGLE + 1, dtype=np.uint64) * _GOLDEN
@@ -192,6 +194,32 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _compare_block(rows: pd.DataFrame) -> pd.DataFrame:
+    """For every asking text a link to each component that holds a near copy of it in this block."""
+    asks = rows["asks"].to_numpy()
+    counts = [shingle_counts(text) for text in rows["text"]]
+    units, roots = rows["unit"].to_numpy(), rows["root"].to_numpy()
+    members = np.flatnonzero(~asks)
+    owner = np.repeat(np.arange(len(members)), [len(counts[m]) for m in members])
+    runs = np.array([hash(run) for m in members for run in counts[m]], dtype=np.int64)
+    times = np.array([n for m in members for n in counts[m].values()], dtype=np.int64)
+    totals = np.array([counts[m].total() for m in members], dtype=np.int64)
+    links = []
+    for q in np.flatnonzero(asks):
+        own = sorted((hash(run), n) for run, n in counts[q].items())
+        if not own or not len(runs):
+            continue
+        keys, weights = (np.array(column, dtype=np.int64) for column in zip(*own))
+        place = np.minimum(np.searchsorted(keys, runs), len(keys) - 1)
+        shared = np.where(keys[place] == runs, np.minimum(weights[place], times), 0)
+        common = np.bincount(owner, shared, len(members))
+        near = common >= THRESHOLD * (totals + weights.sum() - common) - 1e-9
+        for root in set(roots[members[near]]) - {roots[q]}:
+            other = units[members[near & (roots[members] == root)]].min()
+            links.append((min(units[q], other), max(units[q], other)))
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(unit, root) for every end of an edge; root is the smallest unit of the component.
 
@@ -274,10 +302,38 @@ class Links:
             ).distinct()
             if not self.add(pairs):
                 break
-        still = self.scratch.keep(self.open_buckets(), "open")
-        other = still.select("bucket", F.col("unit").alias("b"), F.col("root").alias("_root"))
-        rest = still.join(other, "bucket").where("unit < b AND root <> _root").select(F.col("unit").alias("a"), "b")
-        self.add(rest.distinct())
+        self._finish(self.scratch.keep(self.open_buckets(), "open"))
+
+    def _finish(self, still: DataFrame) -> None:
+        """Compares whatever the rounds have left, completely: everything outside a bucket's largest component with
+        everything in the bucket. Small buckets list their pairs, the others are compared in blocks within a task."""
+        sizes = still.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+            F.sum("n").alias("_all"), F.max(F.struct("n", "root")).alias("_main")
+        )
+        sized = still.join(sizes.select("bucket", "_all", F.col("_main.n").alias("_held"), F.col("_main.root").alias("_main")), "bucket")
+        few = sized.where(F.col("_all") <= LISTED).select("bucket", "unit", "root")
+        other = few.select("bucket", F.col("unit").alias("b"), F.col("root").alias("_root"))
+        rest = few.join(other, "bucket").where("unit < b AND root <> _root").select(F.col("unit").alias("a"), "b")
+
+        def parts(n):
+            return F.ceil(n / BLOCK).cast("int")
+
+        def dealt(n):
+            return F.pmod(F.xxhash64("unit"), n).cast("int")
+
+        many = sized.where(F.col("_all") > LISTED).withColumn("_asked", F.col("_all") - F.col("_held"))
+        blocks, chunks = parts(F.col("_all")), parts(F.col("_asked"))
+        everything = many.select(
+            "bucket", "unit", "root", F.lit(False).alias("asks"), dealt(blocks).alias("block"),
+            F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
+        )
+        asking = many.where("root <> _main").select(
+            "bucket", "unit", "root", F.lit(True).alias("asks"),
+            F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), dealt(chunks).alias("chunk"),
+        )
+        rows = everything.union(asking).join(self.texts.select("unit", "text"), "unit")
+        found = rows.groupBy("bucket", "block", "chunk").applyInPandas(_compare_block, "a long, b long")
+        self.add(rest.union(found).distinct())
 
 
 def unit_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
