@@ -29,17 +29,21 @@ SAMPLE = 20_000
 QUANTILES = 24
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-# None depends on the length of a text as such.
+# (part, total) of each feature. None depends on the length of a text as such.
 FEATURES = {
-    "symbols_per_word": ratio(F.col("n_symbols"), F.col("n_words")),
-    "duplicate_line_share": ratio(F.col("n_dup_lines"), F.col("n_lines")),
-    "repeated_word_share": ratio(F.col("n_repeat_words"), F.col("n_words")),
-    "upper_share": ratio(F.col("n_upper"), F.col("word_chars")),
-    "exclamations_per_word": ratio(F.col("n_exclaim"), F.col("n_words")),
-    "word_length": ratio(F.col("word_chars"), F.col("n_words")),
+    "symbols_per_word": ("n_symbols", "n_words"),
+    "duplicate_line_share": ("n_dup_lines", "n_lines"),
+    "repeated_word_share": ("n_repeat_words", "n_words"),
+    "upper_share": ("n_upper", "word_chars"),
+    "exclamations_per_word": ("n_exclaim", "n_words"),
+    "word_length": ("word_chars", "n_words"),
 }
 
 
+def feature(name: str) -> Column:
+    return ratio(*map(F.col, FEATURES[name]))
+
+
 def _without(text: Column, pattern: str) -> Column:
     """Code points of the text that the pattern matches."""
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
@@ -100,7 +104,7 @@ class Condition:
     threshold: float
 
     def column(self) -> Column:
-        value = FEATURES[self.feature]
+        value = feature(self.feature)
         return value > self.threshold if self.above else value <= self.threshold
 
     def __str__(self) -> str:
@@ -147,7 +151,7 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, scratch: Scratch, sa
     rows = statistics(rows).select(
         (F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(3)) < 2).alias("grow"),
         (F.col("_good") == 0).alias("bad"),
-        *(column.alias(name) for name, column in FEATURES.items()),
+        *(feature(name).alias(name) for name in FEATURES),
     )
     return scratch.keep(rows, "labelled")
 
@@ -161,9 +165,9 @@ def _thresholds(rows: DataFrame) -> list[list[float]]:
     return [sorted({value for row in per_class for value in row[name]}) for name in FEATURES]
 
 
-def _bin(feature: str, cuts: list[float]) -> Column:
+def _bin(name: str, cuts: list[float]) -> Column:
     """The number of thresholds below the value."""
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < F.col(feature)))
+    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < F.col(name)))
 
 
 def _counts(rows: DataFrame, scratch_filter: Column) -> dict:
