@@ -44,6 +44,36 @@ def feature(name: str) -> Column:
     return ratio(*map(F.col, FEATURES[name]))
 
 
+def _bound(value: str, name: str, use: str) -> str:
+    """SQL for ``use`` with a value computed once. As columns of their own, values that are used several times would be
+    written out again and again where a filter moves below them."""
+    return f"element_at(transform(array({value}), {name} -> {use}), 1)"
+
+
+def _pairs(hashes: str, span: int) -> str:
+    """SQL for the hashes of twice as many words."""
+    left = f"greatest(size({hashes}) - {span}, 0)"
+    return f"zip_with(slice({hashes}, 1, {left}), slice({hashes}, {span + 1}, {left}), (a, b) -> xxhash64(a, b))"
+
+
+# Starts of windows that equal a neighbour in hash order, back in the order of the text; then the words they cover.
+STARTS = (
+    "array_sort(transform(filter(o, (w, j) -> coalesce(get(o, j - 1).h = w.h, false) "
+    "OR coalesce(get(o, j + 1).h = w.h, false)), w -> w.i))"
+)
+COVERED = (
+    f"aggregate({STARTS}, named_struct('till', 0, 'n', 0), (a, i) -> "
+    f"named_struct('till', i + {WINDOW}, 'n', a.n + i + {WINDOW} - greatest(a.till, i)), a -> a.n)"
+)
+ORDERED = "array_sort(transform(h8, (h, i) -> struct(h AS h, i AS i)))"
+COUNTED = f"IF(size(array_distinct(h8)) = size(h8), 0, {_bound(ORDERED, 'o', COVERED)})"
+# Hashes of one word become those of 2, 4 and 8 words.
+REPEATED = _bound(
+    "transform(_words, w -> xxhash64(w))", "h1",
+    _bound(_pairs("h1", 1), "h2", _bound(_pairs("h2", 2), "h4", _bound(_pairs("h4", 4), "h8", COUNTED))),
+)
+
+
 def _without(text: Column, pattern: str) -> Column:
     """Code points of the text that the pattern matches."""
     return (F.length(text) - F.length(F.regexp_replace(text, pattern, ""))).cast("long")
@@ -68,27 +98,9 @@ def statistics(rows: DataFrame) -> DataFrame:
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_lines": F.size("_lines").cast("long"),
         "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-        "_windows": F.transform("_words", lambda word: F.xxhash64(word)),
-    }).drop("_words", "_lines")
-    # Hashes of one word become those of 2, 4 and 8 words.
-    for span in (1, 2, 4):
-        hashed = hashed.withColumn("_windows", F.expr(
-            f"zip_with(slice(_windows, 1, greatest(size(_windows) - {span}, 0)), "
-            f"slice(_windows, {span + 1}, greatest(size(_windows) - {span}, 0)), (a, b) -> xxhash64(a, b))"
-        ))
-    ordered = hashed.withColumn("_ordered", F.expr(
-        "IF(size(array_distinct(_windows)) = size(_windows), array(), "
-        "array_sort(transform(_windows, (h, i) -> struct(h AS h, i AS i))))"
-    )).drop("_windows")
-    # Windows that equal a neighbour in hash order, back in the order of the text.
-    starts = ordered.withColumn("_starts", F.expr(
-        "array_sort(transform(filter(_ordered, (w, j) -> coalesce(get(_ordered, j - 1).h = w.h, false) "
-        "OR coalesce(get(_ordered, j + 1).h = w.h, false)), w -> w.i))"
-    )).drop("_ordered")
-    return starts.withColumn("n_repeat_words", F.expr(
-        "aggregate(_starts, named_struct('till', 0, 'n', 0), (a, i) -> "
-        f"named_struct('till', i + {WINDOW}, 'n', a.n + i + {WINDOW} - greatest(a.till, i)), a -> a.n)"
-    ).cast("long")).drop("_starts")
+        "n_repeat_words": F.expr(REPEATED).cast("long"),
+    })
+    return hashed.drop("_words", "_lines")
 
 
 def base_failed() -> Column:
@@ -270,6 +282,6 @@ def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass the base rules and no rule of the list covers, with their columns."""
     rules = learned_from(docs, labels)
     mine = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
-    # A filter moves below deterministic columns and would compute the statistics once for each use of them.
+    # A filter would move below the statistics and compute them a second time.
     judged = judge(mine, rules).withColumn("_place", F.monotonically_increasing_id())
     return judged.where("kept AND _place >= 0").select("_row.*")
