@@ -58,8 +58,9 @@ def possibly_new(
     fresh, count = scratch.keep_counted(unknown_keys(keys, known, table.key), "keys")
     if not count:
         return rows.where(~of_known_day) if other_days else None
-    marked = rows.join(fresh.withColumn("_fresh", F.lit(True)), list(table.key), "left")
-    return marked.where(~of_known_day | F.col("_fresh")).drop("_fresh")
+    new = rows.where(of_known_day).join(fresh, list(table.key), "left_semi")
+    # Rows of other days need no join: the first per key is picked before they are shuffled.
+    return new.unionByName(rows.where(~of_known_day)) if other_days else new
 
 
 def insert_ignore(

@@ -84,7 +84,7 @@ def staged_with_marks(pupils: DataFrame, marks: DataFrame) -> DataFrame:
 def _heal(store: Store) -> None:
     # A history load starts from an empty fact, so all that a cut-off one left behind is its own.
     if store.folders.exists(f"{store.root}/_open-history"):
-        store.folders.remove(store.path(FACT.name))
+        store.folders.remove(store.own_path(FACT.name))
         store.forget(MART_RATE.name)
         store.close_step("history")
 
@@ -144,6 +144,8 @@ def load_history(store: Store, batch_of: Callable[[Column], Column], advance: st
     ``batch_of`` gives the batch id for the fact date column. A run that is cut off is undone by the next load.
     """
     _check(advance)
+    # Refused before anything is marked or removed if the fact belongs to another store.
+    store.own_path(FACT.name)
     _heal(store)
     if store.days(FACT.name):
         raise RuntimeError("the fact is not empty; use load_next")

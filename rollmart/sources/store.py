@@ -29,7 +29,7 @@ class Store:
     def path(self, name: str) -> str:
         return self.elsewhere.get(name, f"{self.root}/{TABLES[name].name}")
 
-    def _own(self, name: str) -> str:
+    def own_path(self, name: str) -> str:
         if name in self.elsewhere:
             raise PermissionError(f"{name} belongs to another store")
         return self.path(name)
@@ -68,7 +68,7 @@ class Store:
 
     def drop_days(self, name: str, days: list[date]) -> None:
         for day in days:
-            self.folders.remove(f"{self._own(name)}/{TABLES[name].day}={day}")
+            self.folders.remove(f"{self.own_path(name)}/{TABLES[name].day}={day}")
 
     def register_views(self) -> None:
         """Temporary views over all tables, for SQL text."""
@@ -87,7 +87,7 @@ class Store:
         writer = rows.select(*table.columns).observe(seen, *measures).write.mode(mode).options(**options)
         if table.day:
             writer = writer.partitionBy(table.day)
-        writer.parquet(self._own(name))
+        writer.parquet(self.own_path(name))
         result = seen.get
         days = sorted(date.fromisoformat(day) for day in result.get("days", "").split(",") if day)
         return {"rows": result["rows"], "days": days}
@@ -125,7 +125,7 @@ class Store:
         """Create the folders of absent warehouse tables; returns the names created."""
         absent = [table.name for table in WAREHOUSE if not self.exists(table.name)]
         for name in absent:
-            self.folders.make(self._own(name))
+            self.folders.make(self.own_path(name))
         return absent
 
     def forget(self, name: str) -> None:
@@ -141,7 +141,7 @@ class Store:
     def drop_all(self) -> None:
         """Drop all warehouse tables, fact first; absent ones are passed over. The marts lose their basis."""
         for table in reversed(WAREHOUSE):
-            self.folders.remove(self._own(table.name))
+            self.folders.remove(self.own_path(table.name))
         for table in MARTS:
             self.forget(table.name)
 

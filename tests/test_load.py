@@ -352,3 +352,15 @@ def test_days_come_from_the_listing(store, raw):
     assert store.read("stg_pupil", []).count() == 0
     assert store.days(FACT) == []
     assert day(1) + timedelta(days=1) == day(2)
+
+
+def test_history_on_a_branch_without_its_own_fact_leaves_the_base_alone(store, raw, tmp_path):
+    put(store, *school(raw, [1]))
+    fact.load_next(store, "b")
+    before = store.read(FACT).count()
+    branch = store.branch(str(tmp_path / "branch"), [])
+    with pytest.raises(PermissionError):
+        fact.load_history(branch, lambda day: day.cast("string"))
+    fact.load_next(branch, "c")
+    assert not branch.folders.exists(f"{branch.root}/_open-history")
+    assert store.read(FACT).count() == before > 0
