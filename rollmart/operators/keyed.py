@@ -46,19 +46,23 @@ def unknown_keys(rows: DataFrame, known: DataFrame, key: tuple[str, ...]) -> Dat
 
 
 def possibly_new(
-    rows: DataFrame, known: DataFrame, table: Table, days: list[date], other_days: bool, scratch: Scratch
+    rows: DataFrame, known: DataFrame, table: Table, days: list[date], other_days: bool, scratch: Scratch,
+    order: tuple[str, ...] = ROW_ORDER,
 ) -> DataFrame | None:
-    """The rows of days the table lacks, and of its own ``days`` the rows with a key it lacks; None if neither.
+    """The rows of days the table lacks, and of its own ``days`` the first row of each key it lacks; None if neither.
 
-    A full-refresh extract mostly brings rows that are known. Only their distinct keys are shuffled to find that
-    out; whole rows are sorted and shuffled later, when just the new ones are left.
+    A full-refresh extract mostly brings rows that are known. Only keys and places of the first rows are shuffled
+    to find that out, combined before the shuffle. Whole rows are looked up by key and place: each matches at most
+    once, and the copies of a key have different places, so no task gets them all.
     """
     of_known_day = F.col(table.day).isin(days)
-    keys = rows.where(of_known_day).select(*table.key).distinct()
-    fresh, count = scratch.keep_counted(unknown_keys(keys, known, table.key), "keys")
+    place = F.struct(*order)
+    firsts = rows.where(of_known_day).groupBy(*table.key).agg(F.min(place).alias("_place"))
+    fresh, count = scratch.keep_counted(unknown_keys(firsts, known, table.key), "keys")
     if not count:
         return rows.where(~of_known_day) if other_days else None
-    new = rows.where(of_known_day).join(fresh, list(table.key), "left_semi")
+    placed = rows.where(of_known_day).withColumn("_place", place)
+    new = placed.join(fresh, [*table.key, "_place"], "left_semi").drop("_place")
     # Rows of other days need no join: the first per key is picked before they are shuffled.
     return new.unionByName(rows.where(~of_known_day)) if other_days else new
 
@@ -86,7 +90,7 @@ def insert_ignore(
     days = [d for d in store.days(name) if d in profile]
     with store.scratch() as scratch:
         if days:
-            rows = possibly_new(rows, store.read(name, days), table, days, len(days) < len(profile), scratch)
+            rows = possibly_new(rows, store.read(name, days), table, days, len(days) < len(profile), scratch, order)
         if rows is None:
             return nothing
         fresh = first_per_key(rows, table.key, order).select(*table.columns)

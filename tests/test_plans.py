@@ -89,6 +89,16 @@ def test_a_refresh_moves_only_new_rows(loaded, spark, raw):
     assert got == [(2, 4), (9, 1), (9, 2), (9, 3), (9, 4)]
 
 
+def test_a_refresh_spreads_the_copies_of_a_new_key(loaded, spark, raw, no_broadcast):
+    copies = [snapshot("2025/01/02", "9", status=str(n)) for n in range(300)]
+    more = stage.clean_pupil(raw(*copies, *[snapshot("2025/01/02", p) for p in "1238"]))
+    fresh = new_rows(loaded, more, Scratch(spark))
+    # Whole rows move by key and place, so that one key's copies go to all tasks, and only its first row is left.
+    moved = [line for line in plan(fresh).splitlines() if "Exchange hash" in line]
+    assert moved and all(re.search(r"_place#\d+", line) for line in moved)
+    assert sorted((r["pupil_id"], r["status"]) for r in fresh.collect()) == [(8, "In"), (9, "0")]
+
+
 def test_a_refresh_reads_only_the_keys_of_the_stage(loaded, no_broadcast):
     keys = usable_rows(loaded).select(*KEY).distinct()
     text = plan(keyed.unknown_keys(keys, loaded.read("stg_pupil"), KEY))
