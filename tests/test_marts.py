@@ -6,7 +6,6 @@ from datetime import date
 
 import pytest
 
-from rollmart.operators import numbering
 from rollmart.plans import checks, daily, marts
 from rollmart.schemas import TABLES
 from rollmart.sources.folders import Scratch
@@ -77,9 +76,7 @@ def test_absenteeism_weekday(star):
         assert got[weekday]["academies_count"] == len({s[2] for s in seen} - {None})
 
 
-@pytest.mark.parametrize("small", [numbering.SMALL, 0])
-def test_academy_benchmarks(star, spark, monkeypatch, small):
-    monkeypatch.setattr(numbering, "SMALL", small)
+def test_academy_benchmarks(star, spark):
     store, facts = star
     groups = defaultdict(list)
     for _, _, pupil, academy, *_, mark, _ in facts:
