@@ -35,19 +35,20 @@ class ReportingResult:
 def load_stage_and_dims(
     store: Store, unreadable: str = "zero"
 ) -> tuple[tuple[InsertResult, InsertResult], dict[str, int]]:
-    """Stage, then the dimensions over the days that got new rows.
+    """Stage, then the dimensions over all days that got rows since they were last extended, be it by this run, by
+    one that was cut off or by a stream.
 
-    After a run that was cut off in between, those days are not known and the whole stage is read.
+    After a run that was cut off while staging, those days are not known and the whole stage is read.
     """
-    cut_off = store.open_step("stage")
     staged = load_stage(store, unreadable)
-    pupils = staged[0]
-    if cut_off:
+    noted = store.noted_days()
+    if store.is_open("stage"):
         added = load_dims(store)
-    elif pupils.inserted:
-        added = load_dims(store, pupils.days)
+    elif noted:
+        added = load_dims(store, noted)
     else:
         added = {}
+    store.strike_days(noted)
     store.close_step("stage")
     return staged, added
 

@@ -39,13 +39,31 @@ def clean_attendance(raw: DataFrame, unreadable: str = "zero") -> DataFrame:
     )
 
 
+def stage_pupils(store: Store, rows: DataFrame) -> InsertResult:
+    """Insert cleaned pupil rows; the days that got some stay noted until the dimensions have taken them up.
+
+    If a run stops before they are noted, the step stays open and the next dimension load reads the whole stage.
+    """
+    cut_off = store.open_step("stage")
+    staged = insert_ignore(store, STG_PUPIL.name, rows)
+    store.note_days(staged.days)
+    if not cut_off:
+        store.close_step("stage")
+    return staged
+
+
+def stage_marks(store: Store, rows: DataFrame) -> InsertResult:
+    """Insert cleaned attendance marks."""
+    return insert_ignore(store, STG_ATTENDANCE.name, rows)
+
+
 def load_stage(store: Store, unreadable: str = "zero") -> tuple[InsertResult, InsertResult]:
     """Move both raw tables on to the stage; the first row ever seen of a key stays."""
     pupils = clean_pupil(store.read(RAW_PUPIL.name), unreadable)
     marks = clean_attendance(store.read(RAW_ATTENDANCE.name), unreadable)
     staged = side_by_side(
         store.spark,
-        lambda: insert_ignore(store, STG_PUPIL.name, pupils),
-        lambda: insert_ignore(store, STG_ATTENDANCE.name, marks),
+        lambda: stage_pupils(store, pupils),
+        lambda: stage_marks(store, marks),
     )
     return staged[0], staged[1]

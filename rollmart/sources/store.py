@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 from functools import reduce
 
@@ -119,6 +120,22 @@ class Store:
     def close_step(self, step: str) -> None:
         self.folders.remove(f"{self.root}/_open-{step}")
 
+    def is_open(self, step: str) -> bool:
+        return self.folders.exists(f"{self.root}/_open-{step}")
+
+    # staged days that the dimensions have not taken up yet
+
+    def note_days(self, days: Collection[date]) -> None:
+        for day in days:
+            self.folders.make(f"{self.root}/_noted/{day}")
+
+    def noted_days(self) -> list[date]:
+        return sorted(date.fromisoformat(day) for day in self.folders.names(f"{self.root}/_noted"))
+
+    def strike_days(self, days: Collection[date]) -> None:
+        for day in days:
+            self.folders.remove(f"{self.root}/_noted/{day}")
+
     # maintenance
 
     def create_missing(self) -> list[str]:
@@ -144,6 +161,7 @@ class Store:
             self.folders.remove(self.own_path(table.name))
         for table in MARTS:
             self.forget(table.name)
+        self.strike_days(self.noted_days())
 
     def row_counts(self) -> DataFrame:
         """Rows per warehouse table."""

@@ -8,15 +8,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.cleaning import marker_to_null
-from ..operators.keyed import insert_ignore
-from ..plans.stage import clean_attendance, clean_pupil
+from ..plans.stage import clean_attendance, clean_pupil, stage_marks, stage_pupils
 from ..schemas import ATTENDANCE_EXTRACT, PUPIL_EXTRACT, STG_ATTENDANCE, STG_PUPIL
 from ..sources.extracts import CSV_OPTIONS
 from ..sources.store import Store
 
 ARRIVALS = {
-    STG_PUPIL.name: (PUPIL_EXTRACT, clean_pupil),
-    STG_ATTENDANCE.name: (ATTENDANCE_EXTRACT, clean_attendance),
+    STG_PUPIL.name: (PUPIL_EXTRACT, clean_pupil, stage_pupils),
+    STG_ATTENDANCE.name: (ATTENDANCE_EXTRACT, clean_attendance, stage_marks),
 }
 
 
@@ -27,9 +26,10 @@ def stage_arrivals(
     """Stage all files of ``folder`` not staged before, then stop.
 
     Rows of one batch rank in file order, batches in order of arrival. A batch that is run again after a
-    failure finds its keys in the stage and adds nothing.
+    failure finds its keys in the stage and adds nothing. The next daily run extends the dimensions by the
+    days that got pupils.
     """
-    columns, clean = ARRIVALS[name]
+    columns, clean, insert = ARRIVALS[name]
     reader = store.spark.readStream.options(**CSV_OPTIONS).schema(
         T.StructType([T.StructField(c, T.StringType()) for c in columns])
     )
@@ -44,7 +44,7 @@ def stage_arrivals(
         # The insert reads its input twice; a stored copy keeps the second reading from parsing the files again.
         with store.scratch() as scratch:
             rows = scratch.keep(batch.withColumn("_row", F.monotonically_increasing_id()), "arrivals")
-            insert_ignore(store, name, clean(rows, unreadable))
+            insert(store, clean(rows, unreadable))
 
     return (
         arrivals.writeStream.foreachBatch(land)
