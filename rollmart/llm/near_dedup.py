@@ -248,7 +248,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 class Links:
-    """The search for links among units, round by round."""
+    """The search for links among units, round by round; what only one round needs is removed at its end."""
 
     def __init__(self, docs: DataFrame, found: DataFrame, scratch: Scratch):
         self.units, self.scratch = found, scratch
@@ -266,12 +266,12 @@ class Links:
         self.links = scratch.keep(self.units.select(F.col("unit").alias("a"), F.col("unit").alias("b")).limit(0), "links")
         self.roots = self.links.select(F.col("a").alias("unit"), F.col("b").alias("root"))
 
-    def verify(self, pairs: DataFrame) -> DataFrame:
+    def verify(self, pairs: DataFrame, passing: Scratch) -> DataFrame:
         """The pairs (a, b) that are near copies."""
         one = self.texts.select(F.col("unit").alias("a"), F.col("registers").alias("ra"))
         other = self.texts.select(F.col("unit").alias("b"), F.col("registers").alias("rb"))
         likely = pairs.join(one, "a").join(other, "b").select("a", "b", "ra", "rb").mapInPandas(_agreeing, "a long, b long")
-        likely = self.scratch.keep(likely, "likely")
+        likely = passing.keep(likely, "likely")
         one = self.texts.select(F.col("unit").alias("a"), F.col("text").alias("text_a"))
         other = self.texts.select(F.col("unit").alias("b"), F.col("text").alias("text_b"))
         joined = likely.join(one, "a").join(other, "b").sortWithinPartitions("a")
@@ -285,24 +285,27 @@ class Links:
 
     def add(self, pairs: DataFrame) -> int:
         """Verifies pairs and takes the links in; how many there were."""
-        new, n = self.scratch.keep_counted(self.verify(pairs), "new")
-        if n:
-            self.links = self.links.union(new)
-            self.roots = self.scratch.keep(components(self.links, self.scratch), "roots")
+        with Scratch(self.scratch.spark) as passing:
+            new, n = self.scratch.keep_counted(self.verify(pairs, passing), "new")
+            if n:
+                self.links = self.links.union(new)
+                self.roots = self.scratch.keep(components(self.links, passing), "roots")
         return n
 
     def search(self) -> None:
         for turn in range(ROUNDS):
-            still = self.scratch.keep(self.open_buckets(), "open")
-            # Another unit of the bucket each time, the same one in all buckets that hold it.
-            place = F.struct(F.xxhash64(F.lit(turn), "unit").alias("h"), "unit", "root")
-            heads = still.groupBy("bucket").agg(F.min(place).alias("head"))
-            pairs = still.join(heads, "bucket").where("root <> head.root").select(
-                F.least("unit", "head.unit").alias("a"), F.greatest("unit", "head.unit").alias("b")
-            ).distinct()
-            if not self.add(pairs):
-                break
-        self._finish(self.scratch.keep(self.open_buckets(), "open"))
+            with Scratch(self.scratch.spark) as passing:
+                still = passing.keep(self.open_buckets(), "open")
+                # Another unit of the bucket each time, the same one in all buckets that hold it.
+                place = F.struct(F.xxhash64(F.lit(turn), "unit").alias("h"), "unit", "root")
+                heads = still.groupBy("bucket").agg(F.min(place).alias("head"))
+                pairs = still.join(heads, "bucket").where("root <> head.root").select(
+                    F.least("unit", "head.unit").alias("a"), F.greatest("unit", "head.unit").alias("b")
+                ).distinct()
+                if not self.add(pairs):
+                    break
+        with Scratch(self.scratch.spark) as passing:
+            self._finish(passing.keep(self.open_buckets(), "open"))
 
     def _finish(self, still: DataFrame) -> None:
         """Compares whatever the rounds have left, completely: everything outside a bucket's largest component with
