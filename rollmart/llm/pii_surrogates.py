@@ -7,7 +7,9 @@ the same script, names become names of the same gender and script. The same enti
 the same surrogate.
 
 Distinctness is checked over the whole corpus: where two entities share a surrogate, or a surrogate is an entity that
-occurs, all but the smallest entity take their next attempt, until nothing collides. Texts without an entity are
+occurs, all but the smallest entity take their next attempt, until nothing collides. The space grows with the attempts
+(one more syllable or letter each; after some attempts in the same form one more digit, the next wider address range and
+at last IPv6), so every entity gets a surrogate however many there are. Texts without an entity are
 returned as they are. A NULL text stays NULL, repeated rows are replaced alike, columns besides ``doc_id`` and ``text``
 are not looked at.
 """
@@ -27,7 +29,8 @@ from ..sources.folders import Scratch
 
 TYPES = ("email", "phone", "card", "ip", "name")
 KEY = "surrogates"
-ATTEMPTS = 50
+# Attempts in the plain form before numbers get more digits and addresses a wider range.
+PLAIN_ATTEMPTS = 4
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]\d{4}(?!\w)|(?<![\w.])\+\d{9,14}(?!\w)")
@@ -131,14 +134,22 @@ def _letters(chance: Chance, form: str) -> str:
 def surrogate(kind: str, entity: str, attempt: int, key: str = KEY) -> str:
     """The surrogate of an entity, in the shape of entities."""
     chance = Chance(key, kind, entity, attempt)
+    wider = max(0, attempt - PLAIN_ATTEMPTS + 1)
     if kind == "email":
         local, _, domain = entity.partition("@")
         host, _, top = domain.rpartition(".")
         # All addresses of a domain move to the same one.
-        return f"{_letters(chance, local)}@{_letters(Chance(key, 'domain', domain), host)}.{top}"
+        return f"{_letters(chance, local + 'x' * attempt)}@{_letters(Chance(key, 'domain', domain), host)}.{top}"
     if kind == "ip":
         a, b, *_ = (int(p) for p in entity.split("."))
-        kept = [a] if a in (10, 127) else [a, b] if (a, b) == (192, 168) or (a == 172 and 16 <= b < 32) else []
+        own = [a] if a in (10, 127) else [a, b] if (a, b) == (192, 168) or (a == 172 and 16 <= b < 32) else []
+        # The own range, then the largest private one, then all public addresses, then IPv6, private for private.
+        ranges = [own, *([[10]] if own and a != 10 else []), *([[]] if own else [])]
+        step = wider // 2
+        if step >= len(ranges):
+            groups = [f"{0xFD00 + chance.below(256) if own else 0x2000 + chance.below(0x2000):x}"]
+            return ":".join(groups + [f"{chance.below(65536):x}" for _ in range(7)])
+        kept = ranges[step]
         drawn = [chance.below(256) for _ in range(4 - len(kept))]
         if not kept:
             while drawn[0] in (0, 10, 127, 172, 192) or drawn[0] >= 224:
@@ -147,15 +158,15 @@ def surrogate(kind: str, entity: str, attempt: int, key: str = KEY) -> str:
     if kind == "phone":
         # Of a number with a country code that stays.
         kept = max(0, len(entity) - 10)
-        return entity[:kept] + str(2 + chance.below(8)) + "".join(str(chance.below(10)) for _ in entity[kept + 1 :])
+        return entity[:kept] + str(2 + chance.below(8)) + "".join(str(chance.below(10)) for _ in range(len(entity) - kept - 1 + wider))
     if kind == "card":
-        drawn = entity[0] + "".join(str(chance.below(10)) for _ in entity[1:-1])
+        drawn = entity[0] + "".join(str(chance.below(10)) for _ in range(len(entity) - 2 + wider))
         check = next(d for d in "0123456789" if luhn(drawn + d))
         return drawn + (check if luhn(entity) else str((int(check) + 1 + chance.below(9)) % 10))
     gender, script, name = entity.split("/", 2)
     given = GIVEN[gender, script][chance.below(len(GIVEN[gender, script]))]
     syllables = SYLLABLES[script]
-    family = "".join(syllables[chance.below(len(syllables))] for _ in range(3)).capitalize()
+    family = "".join(syllables[chance.below(len(syllables))] for _ in range(3 + attempt)).capitalize()
     return f"{gender}/{script}/{(given + ' ' + family if ' ' in name else family).casefold()}"
 
 
@@ -163,7 +174,7 @@ def laid_out(kind: str, form: str, found: str) -> str:
     """A surrogate in the form in which the entity was written."""
     if kind in ("phone", "card"):
         digits = iter(found)
-        return "".join(next(digits) if c.isdigit() else c for c in form)
+        return "".join(next(digits) if c.isdigit() else c for c in form) + "".join(digits)
     if kind == "name":
         name = found.split("/", 2)[2].title()
         return name.upper() if form.isupper() and len(form) > 1 else name
@@ -193,7 +204,7 @@ def mapping(found: DataFrame, scratch: Scratch, key: str = KEY) -> DataFrame:
     distinct = found.select(F.explode("found").alias("f")).select("f.kind", "f.entity").distinct()
     drawn = scratch.keep(distinct.withColumn("attempt", F.lit(0)).mapInPandas(draw, schema), "drawn")
     known = drawn.select("kind", F.col("entity").alias("surrogate"))
-    for _ in range(ATTEMPTS):
+    while True:
         shared = drawn.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("n"))
         taken = shared.where("n > 1").select("kind", "surrogate", "first").union(
             shared.join(known, ["kind", "surrogate"], "left_semi").select("kind", "surrogate", F.lit(None).cast("string"))
@@ -204,7 +215,6 @@ def mapping(found: DataFrame, scratch: Scratch, key: str = KEY) -> DataFrame:
             return drawn.drop("attempt")
         kept = drawn.join(again.select("kind", "entity"), ["kind", "entity"], "left_anti")
         drawn = scratch.keep(kept.select("kind", "entity", "attempt", "surrogate").union(again.mapInPandas(draw, schema)), "drawn")
-    raise RuntimeError(f"{n} entities share a surrogate after {ATTEMPTS} attempts: their form leaves too few")
 
 
 def replace(docs: DataFrame, key: str = KEY) -> DataFrame:

@@ -240,6 +240,24 @@ def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     assert not {r["surrogate"] for r in known} & {r["entity"] for r in known}
 
 
+def test_more_entities_than_their_form_has_surrogates(spark):
+    spans = "array<struct<kind:string,entity:string>>"
+    names = [("name", f"m/{script}/{chr(97 + i % 26)}{i}") for script, n in (("latin", 34_000), ("greek", 9_000)) for i in range(n)]
+    hosts = [("ip", f"192.168.{i // 256}.{i % 256}") for i in range(33_000)]
+    mails = [("email", f"{sign}@a.com") for sign in "abcdefghijklmnopqrstuvwxyz_%+-"]
+    found = spark.createDataFrame([(names + hosts + mails,)], f"found {spans}")
+    known = pii_surrogates.mapping(found, Scratch(spark)).collect()
+    assert len(known) == len({(r["kind"], r["surrogate"]) for r in known}) == len(names + hosts + mails)
+    assert not {r["surrogate"] for r in known} & {r["entity"] for r in known}
+
+
+def test_surrogates_widen_with_the_attempts():
+    for kind, entity in (("card", "4929348385146306"), ("phone", "0175557713"), ("ip", "192.168.0.1"), ("ip", "8.8.8.8")):
+        late = pii_surrogates.surrogate(kind, entity, 12)
+        assert late != entity and (":" in late if kind == "ip" else len(late) > len(entity))
+    assert pii_surrogates.laid_out("phone", "(017) 555-7713", "298765432101") == "(298) 765-432101"
+
+
 # Mixing
 
 
