@@ -3,8 +3,13 @@
 Found are e-mail addresses, phone and card numbers, IPv4 addresses, and names behind a title (in Latin, Cyrillic or Greek
 script; the title gives the gender). A surrogate is a keyed hash of the entity laid into its form: digits become digits
 (card numbers that pass the Luhn check still do, country codes and private address ranges stay), letters become letters of
-the same script, names become names of the same gender and script. The same entity, however it is written, always gets
-the same surrogate.
+the same script, names become names of the same script, given names also of the same gender.
+
+A name is all capitalised words and initials behind its title. Its words are entities of their own: the first of several
+is the given name, the others and a single one are surnames, so a surname maps alike with and without a given name and in
+all documents. Particles (von, de la) stay as part of the form. In a document that names somebody with a title, the words of
+that name are replaced wherever they stand capitalised, with initials before them; an initial goes with the given name
+that the document has for it, and a single word that is a given name elsewhere in the document is that one.
 
 Distinctness is checked over the whole corpus: where two entities share a surrogate, or a surrogate is an entity that
 occurs, all but the smallest entity take their next attempt, until nothing collides. The space grows with the attempts
@@ -18,8 +23,11 @@ from __future__ import annotations
 
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 from hashlib import sha256
+from unicodedata import normalize
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -59,11 +67,22 @@ SYLLABLES = {
     "greek": "βα γα δα ζα κα λα μα να πα ρα σα τα φα χα λο μο".split(),
 }
 GENDER = {title: kind for kind, titles in TITLES.items() for title in titles}
-NAME = re.compile(
-    r"\b(" + "|".join(sorted(GENDER, key=len, reverse=True)) + r")\b\.? ([^\W\d_]+(?:-[^\W\d_]+)?)(?: ([^\W\d_]+(?:-[^\W\d_]+)?))?"
+LETTER = "(?:[^\\W\\d_][\u0300-\u036f]*)"
+WORD = rf"{LETTER}+(?:['’](?!s\b){LETTER}+)*"
+TITLE = re.compile(
+    r"\b(" + "|".join(sorted(GENDER, key=len, reverse=True)) + r")\b(?:\.|(?=\s))[^\S\n]{0,3}\n?[^\S\n]{0,3}"
+    r"(?:(?:Dr|Prof|Doktor|Professor)\b\.?[^\S\n]{0,3})*"
+)
+PART = re.compile(WORD)
+GAP = re.compile(r"[^\S\n]{1,3}|[-‐‑]")
+MENTION = re.compile(rf"(?<![^\W_])((?:{LETTER}\.[^\S\n]{{0,2}})*)({WORD})")
+# Words inside a surname that stay, and words that end a name.
+PARTICLES = frozenset(
+    "af al av bin da das de del della den der di do dos du el ibn la le los ten ter van vom von y zu zum zur".split()
 )
+ENDS = frozenset("Jr Jnr Snr II III IV Dr Prof".split()) | frozenset(GENDER)
 
-SPANS = "array<struct<kind:string,start:int,end:int,form:string,entity:string>>"
+SPANS = "array<struct<kind:string,start:int,end:int,form:string,entity:string,mention:boolean>>"
 
 
 def luhn(digits: str) -> bool:
@@ -74,22 +93,121 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def _names(text: str) -> Iterator[tuple[str, int, int, str, str]]:
-    for m in NAME.finditer(text):
-        gender, script = GENDER[m[1]]
-        last = 3 if m[3] and m[3][0].isupper() else 2
-        if m[2][0].isupper():
-            name = text[m.start(2) : m.end(last)]
-            yield "name", m.start(2), m.end(last), name, f"{gender}/{script}/{name.casefold()}"
-
-
-def entities(text: str) -> list[tuple[str, int, int, str, str]]:
-    """(kind, start, end, form, entity) without overlaps, the earlier kind first; entities are the forms' common shape."""
-    found: list[tuple[str, int, int, str, str]] = []
-
-    def add(kind: str, start: int, end: int, form: str, entity: str) -> None:
-        if all(end <= s or start >= e for _, s, e, *_ in found):
-            found.append((kind, start, end, form, entity))
+@dataclass
+class Part:
+    """A word or an initial of a name; ``joined`` to the one before by a hyphen."""
+
+    start: int
+    end: int
+    form: str
+    joined: bool
+
+    def __post_init__(self) -> None:
+        self.key = normalize("NFC", self.form).casefold().replace("’", "'")
+        self.initial = len(normalize("NFC", self.form).rstrip(".")) == 1
+        if self.initial:
+            self.key = self.key[0] + "."
+
+    def entity(self, gender: str = "") -> str:
+        """Of a given name, or of a surname, which has no gender."""
+        first = self.key[0]
+        script = "cyrillic" if "\u0400" <= first <= "\u052f" else "greek" if "\u0370" <= first <= "\u03ff" or "\u1f00" <= first <= "\u1fff" else "latin"
+        return f"{gender}/{script}/{self.key}"
+
+
+def _capital(word: str) -> bool:
+    return any(piece[:1].isupper() for piece in re.split("['’]", word)[:2])
+
+
+def _parts(text: str, at: int) -> list[Part]:
+    """The words and initials of the name that begins at ``at``."""
+    found: list[Part] = []
+    joined = False
+    while m := PART.match(text, at):
+        word, end = m[0], m.end()
+        if word not in PARTICLES or joined:
+            if not (joined or _capital(word)) or word in ENDS:
+                break
+            if len(normalize("NFC", word)) == 1 and text[end : end + 1] == ".":
+                end += 1
+            found.append(Part(m.start(), end, text[m.start() : end], joined))
+        gap = GAP.match(text, end)
+        if gap is None and text[end - 1] != ".":
+            break
+        # A hyphen behind a particle joins nothing.
+        joined = bool(gap) and not gap[0].isspace() and bool(found) and found[-1].end == end
+        at = gap.end() if gap else end
+    return found
+
+
+def _names(text: str) -> Iterator[tuple[int, int, str, str, bool]]:
+    """(start, end, form, entity, mention) of the words of all names; the first word of each has ``mention`` set."""
+    names = []
+    for m in TITLE.finditer(text):
+        if parts := _parts(text, m.end()):
+            names.append((GENDER[m[1]][0], parts))
+    if not names:
+        return
+    roles: dict[str, tuple[str, str]] = {}  # gender, none for surnames, and entity of a word
+    initials: dict[tuple[str, str], str] = {}
+    # Longer names first: they tell given names from surnames.
+    ranked = sorted(names, key=lambda name: -len(name[1]))
+    entities: dict[int, str] = {}
+    for gender, parts in ranked:
+        groups: list[list[Part]] = []
+        for p in parts:
+            if p.joined and groups and not p.initial:
+                groups[-1].append(p)
+            else:
+                groups.append([p])
+        words = [g for g in groups if not g[0].initial]
+        for group in words:
+            for p in group:
+                of, _ = roles.get(p.key, (None, ""))
+                given = group is words[0] and len(words) > 1
+                if given and of != "" or len(words) == len(groups) == 1 and of == gender:
+                    entities[p.start] = p.entity(gender)
+                    initials.setdefault((p.key[0], words[-1][-1].key), entities[p.start])
+                    if p.key not in PARTICLES:
+                        roles.setdefault(p.key, (gender, entities[p.start]))
+                else:
+                    entities[p.start] = p.entity()
+                    if p.key not in PARTICLES:
+                        roles.setdefault(p.key, ("", entities[p.start]))
+    for gender, parts in names:
+        family = next((p.key for p in reversed(parts) if not p.initial), "")
+        for i, p in enumerate(parts):
+            if p.initial:
+                entities[p.start] = initials.get((p.key[0], family), p.entity(gender))
+            yield p.start, p.end, p.form, entities[p.start], i == 0
+    genders = {parts[-1].key: gender for gender, parts in reversed(names)}
+    titled = {p.start for _, parts in names for p in parts}
+    last = -1
+    for m in MENTION.finditer(text):
+        p = Part(m.start(2), m.end(), m[2], False)
+        if p.initial or p.key not in roles or p.start in titled or not _capital(p.form):
+            continue
+        gender, entity = roles[p.key]
+        mention = last < 0 or not GAP.fullmatch(text, last, m.start())
+        if m[1] and m[1][0].isupper():
+            for i in re.finditer(rf"{LETTER}\.", m[1]):
+                one = Part(m.start(1) + i.start(), m.start(1) + i.end(), i[0], False)
+                of = one.entity(gender or genders.get(p.key, names[0][0]))
+                yield one.start, one.end, one.form, initials.get((one.key[0], p.key), of), mention
+                mention = False
+        yield p.start, p.end, p.form, entity, mention
+        last = p.end
+
+
+def entities(text: str) -> list[tuple[str, int, int, str, str, bool]]:
+    """(kind, start, end, form, entity, mention) without overlaps, the earlier kind first; entities are the forms' common
+    shape, ``mention`` is false for all words of a name but the first."""
+    found: list[tuple[int, int, str, str, str, bool]] = []
+
+    def add(kind: str, start: int, end: int, form: str, entity: str, mention: bool = True) -> None:
+        place = bisect_left(found, (start,))
+        if (place == len(found) or end <= found[place][0]) and (not place or found[place - 1][1] <= start):
+            found.insert(place, (start, end, kind, form, entity, mention))
 
     if "@" in text:
         for m in EMAIL.finditer(text):
@@ -105,8 +223,8 @@ def entities(text: str) -> list[tuple[str, int, int, str, str]]:
             if len(digits) == 16 or luhn(digits):
                 add("card", *m.span(), m[0], digits)
     for name in _names(text):
-        add(*name)
-    return sorted(found, key=lambda e: e[1])
+        add("name", *name)
+    return [(kind, start, end, *rest) for start, end, kind, *rest in found]
 
 
 class Chance:
@@ -163,11 +281,14 @@ def surrogate(kind: str, entity: str, attempt: int, key: str = KEY) -> str:
         drawn = entity[0] + "".join(str(chance.below(10)) for _ in range(len(entity) - 2 + wider))
         check = next(d for d in "0123456789" if luhn(drawn + d))
         return drawn + (check if luhn(entity) else str((int(check) + 1 + chance.below(9)) % 10))
-    gender, script, name = entity.split("/", 2)
-    given = GIVEN[gender, script][chance.below(len(GIVEN[gender, script]))]
+    gender, script, _ = entity.split("/", 2)
     syllables = SYLLABLES[script]
-    family = "".join(syllables[chance.below(len(syllables))] for _ in range(3 + attempt)).capitalize()
-    return f"{gender}/{script}/{(given + ' ' + family if ' ' in name else family).casefold()}"
+    if gender:
+        stem, more = GIVEN[gender, script][chance.below(len(GIVEN[gender, script]))], 2 * attempt
+    else:
+        stem, more = "", 3 + attempt
+    drawn = stem + "".join(syllables[chance.below(len(syllables))] for _ in range(more))
+    return f"{gender}/{script}/{drawn.casefold()}"
 
 
 def laid_out(kind: str, form: str, found: str) -> str:
@@ -176,8 +297,11 @@ def laid_out(kind: str, form: str, found: str) -> str:
         digits = iter(found)
         return "".join(next(digits) if c.isdigit() else c for c in form) + "".join(digits)
     if kind == "name":
-        name = found.split("/", 2)[2].title()
-        return name.upper() if form.isupper() and len(form) > 1 else name
+        # By way of capitals, so that a final sigma gets its form.
+        name = found.split("/", 2)[2].upper().title()
+        if len(normalize("NFC", form).rstrip(".")) == 1:
+            return name[0] + form[len(form.rstrip(".")) :]
+        return name.upper() if form.isupper() else name.lower() if form.islower() else name
     return found.upper() if kind == "email" and form.isupper() else found
 
 
@@ -238,7 +362,10 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
                 done.append("".join(parts) + text[at:])
             yield pd.Series(done, dtype="object")
 
-    counts = [F.size(F.filter("found", lambda f: f["kind"] == F.lit(kind))).cast("long").alias(f"n_{kind}") for kind in TYPES]
+    counts = [
+        F.size(F.filter("found", lambda f: (f["kind"] == F.lit(kind)) & f["mention"])).cast("long").alias(f"n_{kind}")
+        for kind in TYPES
+    ]
     clean = found.where(F.size("found") == 0).select("doc_id", "text", *counts)
     edited = found.where(F.size("found") > 0).join(edits, "_row").withColumn(
         "text", F.pandas_udf(edit, "string")("text", "edits")

@@ -251,6 +251,26 @@ def test_more_entities_than_their_form_has_surrogates(spark):
     assert not {r["surrogate"] for r in known} & {r["entity"] for r in known}
 
 
+def test_names_are_replaced_whole_and_alike(documents):
+    rows = documents(
+        (1, "Mr John Smith came. Then Mr Smith left; later Smith and John Smith met J. Smith. SMITH's end."),
+        (2, "Mr J. Smith, Mr Martin Luther King Jr. and Frau Dr. Anna von Schmidt-Öst. Then von Schmidt, King"),
+        (3, "Mr Иван Петров and Frau O’Neill; Mr Jose\u0301 Pin\u0303a, Herr d'Angelo. Jos\u00e9"), (4, "John Smith without a title"),
+        (5, "Mrs Smith. The Mrs. E. T. A. Black: Mr.\nBlack"),
+    )
+    found = {r["doc_id"]: r for r in pii_surrogates.replace(rows).collect()}
+    text = {i: r["text"] for i, r in found.items()}
+    first = re.fullmatch(r"Mr (\w+) (\w+) came\. Then Mr \2 left; later \2 and \1 \2 met (\w)\. \2\. (\w+)'s end\.", text[1])
+    assert first and first[3] == first[1][0] and first[4] == first[2].upper() and found[1]["n_name"] == 6
+    second = re.fullmatch(rf"Mr \w\. {first[2]}, Mr \w+ \w+ (\w+) Jr\. and Frau Dr\. \w+ von (\w+)-\w+\. Then von \2, \1", text[2])
+    assert second and not set("Martin Luther King Anna Schmidt".split()) & set(re.findall(r"\w+", text[2]))
+    assert found[2]["n_name"] == 5
+    third = re.fullmatch(r"Mr ([А-я]+) ([А-я]+) and Frau (\w+); Mr (\w+) (\w+), Herr (\w+)\. \4", text[3])
+    assert third and not {"Иван", "Петров"} & set(third.groups())
+    assert text[4] == "John Smith without a title"
+    assert re.fullmatch(rf"Mrs {first[2]}\. The Mrs\. [A-Z]\. [A-Z]\. [A-Z]\. (\w+): Mr\.\n\1", text[5])
+
+
 def test_surrogates_widen_with_the_attempts():
     for kind, entity in (("card", "4929348385146306"), ("phone", "0175557713"), ("ip", "192.168.0.1"), ("ip", "8.8.8.8")):
         late = pii_surrogates.surrogate(kind, entity, 12)
