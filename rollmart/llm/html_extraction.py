@@ -2,13 +2,15 @@
 
 Every element and every text block is a node with one of three labels: outside (holds the article but is not part of
 it), content, boilerplate. Potentials couple a node with its parent, and each node with what is seen of it: for elements
-the cue their tag, class, id and role give, for blocks their length and share of links. An element with a boilerplate cue is
-boilerplate under any parent and tells nothing about it. The marginals come from one upward and one downward pass of
+the cue their tag, class, id and role give, for blocks their length and share of links. A boilerplate cue is evidence like any other:
+it changes how likely the element's label is under each label of its parent, and its contents, which together count for
+``WITHIN`` nodes, may outweigh it. An element that holds the article, or most of the page's long text and its heading, is no
+boilerplate for its cue (a form around the page). The marginals come from one upward and one downward pass of
 sum-product messages; blocks that are more likely content than not make the text.
 
 The potentials are counted on labelled pages: those of a bounded sample (``SAMPLE`` pages, smallest hash of the id) whose
-markup names the article itself, so that every node's label is known. What never occurs there keeps the small prior, or
-none at all: nothing inside boilerplate is content again.
+markup names the article itself, so that every node's label is known. What never occurs there keeps the small prior,
+as content inside boilerplate does.
 
 Text: character references are decoded, white space within a block becomes one space, blocks follow in page order with one
 space between them. Tags may be unclosed, cut off or out of order. NULL and empty pages have an empty text, repeated rows
@@ -32,7 +34,8 @@ from .common import whole
 SAMPLE = 2_000
 
 OUTSIDE, CONTENT, BOILERPLATE = range(3)
-PLAIN, MAIN, ASIDE = range(3)
+# What is seen of an element; MIXED names both, HOLDS is a boilerplate cue on what is around the article.
+PLAIN, MAIN, ASIDE, MIXED, HOLDS = range(5)
 
 # Elements by what they mean, and words of class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -51,6 +54,9 @@ ASIDE_WORDS = frozenset(
     "notice notification pager pagination popup promo related replies reply respond search share sharing sidebar social "
     "sponsor sponsored subscribe toolbar widget".split()
 )
+REMARK_WORDS = frozenset("comment comments discussion disqus replies reply respond".split())
+# What follows in a name is what a page has or lacks, not what the element is: no-sidebar, has-comments.
+HAVING_WORDS = frozenset("has have no not with without".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -71,6 +77,7 @@ class Tree:
     tag: list[str] = field(default_factory=list)  # empty for a text block
     seen: list[int] = field(default_factory=list)  # the cue of an element, the bucket of a block
     text: list[str] = field(default_factory=list)
+    remarks: set[int] = field(default_factory=set)  # elements that are named as comments
 
     def add(self, parent: int, tag: str, seen: int, text: str = "") -> int:
         self.parent.append(parent)
@@ -80,18 +87,29 @@ class Tree:
         return len(self.parent) - 1
 
 
+def _names(attributes: str) -> list[list[str]]:
+    """The words of every single name in class, id and role."""
+    found = []
+    for _, *values in ATTRIBUTE.findall(attributes):
+        for name in "".join(values).split():
+            words = NAME.findall(CAMEL.sub(" ", name).lower())
+            found.append(words[: next((i for i, w in enumerate(words) if w in HAVING_WORDS), None)])
+    return found
+
+
 def cue(tag: str, attributes: str) -> int:
-    if tag in ASIDE_TAGS:
-        return ASIDE
     if tag in ("html", "body"):
         return PLAIN
-    names: set[str] = set()
-    if attributes:
-        for _, *values in ATTRIBUTE.findall(attributes):
-            names.update(NAME.findall(CAMEL.sub(" ", "".join(values)).lower()))
-    if names & ASIDE_WORDS:
-        return ASIDE
-    return MAIN if tag in MAIN_TAGS or names & MAIN_WORDS else PLAIN
+    names = _names(attributes) if attributes else []
+    asides = [not ASIDE_WORDS.isdisjoint(words) for words in names]
+    mains = any(not aside and not MAIN_WORDS.isdisjoint(words) for aside, words in zip(asides, names))
+    if tag == "main":
+        return MAIN
+    if tag in ASIDE_TAGS:
+        return MIXED if mains and tag in ("form", "fieldset") else ASIDE
+    if any(asides):
+        return MIXED if mains else ASIDE
+    return MAIN if mains or tag in MAIN_TAGS else PLAIN
 
 
 LENGTHS = (25, 80, 200)
@@ -190,10 +208,54 @@ def parse(html: str) -> Tree:
             links += 1
         stack.append(tree.add(stack[-1], tag, seen) if tag not in INLINE or seen == ASIDE else stack[-1])
         open_tags.append(tag)
+        if seen == ASIDE and any(not REMARK_WORDS.isdisjoint(words) for words in _names(attributes)):
+            tree.remarks.add(stack[-1])
     flush()
+    _free_wrappers(tree)
     return tree
 
 
+def _free_wrappers(tree: Tree) -> None:
+    """Elements with a boilerplate cue that are around the article lose it."""
+    size = len(tree.parent)
+    if ASIDE not in tree.seen:
+        return
+    # Below and at every node: text, long text, the most long text of a main element, main elements by tag, headings.
+    every, long, most, named, heads = ([0] * size for _ in range(5))
+    for i in range(size - 1, -1, -1):
+        if not tree.tag[i]:
+            every[i] = len(tree.text[i])
+            if tree.seen[i] >= 4 and not tree.seen[i] % 2:
+                long[i] = every[i]
+        heads[i] += tree.tag[i] == "h1"
+        if i:
+            above = tree.parent[i]
+            every[above] += every[i]
+            long[above] += long[i]
+            heads[above] += heads[i]
+            main = tree.tag[i] in MAIN_TAGS and tree.seen[i] == MAIN
+            most[above] = max(most[above], most[i], long[i] if main else 0)
+            named[above] += named[i] + main
+    if not long[0]:
+        long = every
+    within = [0] * size  # main elements by tag that are around a node
+    cued = [False] * size  # whether a main or boilerplate element is around it
+    for i in range(1, size):
+        above = tree.parent[i]
+        within[i] = within[above] + (tree.tag[above] in MAIN_TAGS and tree.seen[above] == MAIN)
+        cued[i] = cued[above] or tree.seen[above] in (MAIN, ASIDE) and bool(tree.tag[above])
+        if not tree.tag[i] or tree.seen[i] not in (ASIDE, MIXED):
+            continue
+        if named[i] == named[0] - within[i]:  # no main element apart from it
+            largest = 2 * long[i] > long[0]
+            if tree.tag[i] == "article" and not cued[i] and largest:
+                tree.seen[i] = MAIN
+            elif 2 * most[i] > long[0] or named[i] == 1 and heads[i]:
+                tree.seen[i] = HOLDS
+            elif largest and i not in tree.remarks and (heads[i] or 10 * every[i] >= 9 * every[0]):
+                tree.seen[i] = MAIN if tree.seen[i] == MIXED else HOLDS
+
+
 def labels(tree: Tree) -> list[int] | None:
     """The label of every node of a page whose markup names its article; None for other pages."""
     top = [
@@ -221,16 +283,18 @@ def labels(tree: Tree) -> list[int] | None:
 
 @dataclass(frozen=True)
 class Potentials:
-    """edge[parent label][label], cue[label][cue] and block[label][bucket]."""
+    """edge[parent label][label], the same to elements with a boilerplate cue, cue[label][cue] and block[label][bucket]."""
 
     edge: tuple[tuple[float, ...], ...]
+    aside: tuple[tuple[float, ...], ...]
     cue: tuple[tuple[float, ...], ...]
     block: tuple[tuple[float, ...], ...]
 
 
 # Shares before any page is seen, by label; 0 rules a combination out.
-PRIOR_EDGE = ((0.4, 0.3, 0.3), (0.0, 0.9, 0.1), (0.0, 0.0, 1.0))
-PRIOR_CUE = ((0.95, 0.05, 0.0), (0.6, 0.4, 0.0), (0.45, 0.05, 0.5))
+PRIOR_EDGE = ((0.4, 0.3, 0.3), (0.0, 0.9, 0.1), (0.0, 0.001, 0.999))
+PRIOR_ASIDE = ((0.02, 0.01, 0.97), (0.0, 0.02, 0.98), (0.0, 0.001, 0.999))
+PRIOR_CUE = ((0.93, 0.05, 0.0, 0.01, 0.01), (0.588, 0.4, 0.0, 0.01, 0.002), (0.42, 0.05, 0.5, 0.0298, 0.0002))
 PRIOR_BLOCK = tuple(
     tuple(weights[b // 2] * (linked if b % 2 else 1 - linked) for b in range(BUCKETS))
     for weights, linked in (((0.4, 0.3, 0.2, 0.1), 0.5), ((0.1, 0.2, 0.3, 0.4), 0.1), ((0.4, 0.3, 0.2, 0.1), 0.5))
@@ -238,6 +302,8 @@ PRIOR_BLOCK = tuple(
 # How much the counts weigh against the prior, and how much a block's looks weigh against its place in the tree.
 LEARNED = 0.8
 LOOKS = 0.3
+# The nodes inside an element with a boilerplate cue are of one kind, and together weigh as much as so many.
+WITHIN = 3
 
 
 def _share(counts: list[float], prior: tuple[float, ...]) -> tuple[float, ...]:
@@ -254,24 +320,35 @@ def potentials(counts: dict[tuple[str, int, int], int]) -> Potentials:
         )
 
     looks = tuple(tuple(p**LOOKS for p in row) for row in table("block", PRIOR_BLOCK))
-    return Potentials(table("edge", PRIOR_EDGE), table("cue", PRIOR_CUE), looks)
+    return Potentials(table("edge", PRIOR_EDGE), table("aside", PRIOR_ASIDE), table("cue", PRIOR_CUE), looks)
 
 
 def marginals(tree: Tree, known: Potentials) -> list[tuple[float, float, float]]:
     """The probability of every label at every node: messages from the blocks up, then from the root down."""
-    size, edge = len(tree.parent), known.edge
+    size = len(tree.parent)
+    edges = [known.aside if tag and seen == ASIDE else known.edge for tag, seen in zip(tree.tag, tree.seen)]
     belief = []
     for tag, seen in zip(tree.tag, tree.seen):
-        if tag:
+        if tag and seen == ASIDE:  # the cue is in the edge
+            belief.append([1.0, 1.0, 1.0])
+        elif tag:
             belief.append([row[seen] for row in known.cue])
         else:  # a block is content or not
             belief.append([0.0, known.block[CONTENT][seen], known.block[BOILERPLATE][seen]])
+    around = [-1] * size  # the element with a boilerplate cue that a node is in, unless in a main element there
+    for i in range(1, size):
+        above = tree.parent[i]
+        around[i] = above if tree.tag[above] and tree.seen[above] == ASIDE else around[above]
+        if tree.tag[i] and tree.seen[i] == MAIN:
+            around[i] = -1
+    inside = Counter(around)
+    for i, place in enumerate(around):
+        if place >= 0 and inside[place] > WITHIN:
+            belief[i] = [x ** (WITHIN / inside[place]) if x else 0.0 for x in belief[i]]
     upward: list[tuple[float, float, float]] = [(1.0, 1.0, 1.0)] * size
     for i in range(size - 1, 0, -1):
-        if tree.tag[i] and tree.seen[i] == ASIDE:
-            continue
         a, b, c = belief[i]
-        message = tuple(row[0] * a + row[1] * b + row[2] * c for row in edge)
+        message = tuple(row[0] * a + row[1] * b + row[2] * c for row in edges[i])
         scale = max(message)
         upward[i] = message = tuple(m / scale for m in message)
         above = belief[tree.parent[i]]
@@ -282,12 +359,11 @@ def marginals(tree: Tree, known: Potentials) -> list[tuple[float, float, float]]
     root[CONTENT] = root[BOILERPLATE] = 0.0
     found: list[tuple[float, float, float]] = []
     for i in range(size):
-        if i and tree.tag[i] and tree.seen[i] == ASIDE:
-            joint = (0.0, 0.0, 1.0)
-        elif i:
+        if i:
             above = found[tree.parent[i]]
             # What the parent believes without this child's own message.
             rest = [p / m if m else 0.0 for p, m in zip(above, upward[i])]
+            edge = edges[i]
             down = [rest[0] * edge[0][k] + rest[1] * edge[1][k] + rest[2] * edge[2][k] for k in range(3)]
             joint = [d * x for d, x in zip(down, belief[i])]
         else:
@@ -313,8 +389,8 @@ def _count_labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             for i, label in enumerate(known):
                 counts["cue" if tree.tag[i] else "block", label, tree.seen[i]] += 1
-                if i and not (tree.tag[i] and tree.seen[i] == ASIDE):
-                    counts["edge", known[tree.parent[i]], label] += 1
+                if i:
+                    counts["aside" if tree.tag[i] and tree.seen[i] == ASIDE else "edge", known[tree.parent[i]], label] += 1
     yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["kind", "label", "seen", "n"])
 
 

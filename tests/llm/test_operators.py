@@ -417,6 +417,31 @@ def test_other_layouts(spark):
     assert html_extraction.extract(empty.limit(0)).count() == 0
 
 
+def test_articles_in_wrappers_with_boilerplate_words(spark):
+    learned = html_extraction.train(spark.read.parquet(f"{SF}/pages.parquet"))
+    part = "<p>A long paragraph of the article that goes on, with many words, so that it looks like text of its own.</p>"
+    text = "Head" + " A long paragraph of the article that goes on, with many words, so that it looks like text of its own." * 3
+    nav, foot = "<nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav>", "<footer>Copyright</footer>"
+    article, comments = f"<h1>Head</h1>{part * 3}", "<p>Nice article, thanks a lot. It is long enough to look like text.</p>" * 40
+    pages = [
+        f"<body><form id=aspnetForm>{nav}<div>{article}</div>{foot}</form>",
+        f"<body><form>{nav}<article>{article}</article>{foot}</form>",
+        f"<body>{nav}<div class='main no-sidebar'>{article}</div>{foot}",
+        f"<body>{nav}<article class='post has-comments'>{article}<section id=comments>{comments}</section></article>{foot}",
+        f"<main class='with-sidebar'>{article}</main><aside>{part}</aside>{foot}",
+        f"<body>{nav}<div class=sidebar-layout><div>{article}</div><div class=sidebar>{part}</div></div>{foot}",
+        f"<body>{nav}<article class=sponsored>{article}</article>{foot}",
+        f"<body>{nav}<div class='main sidebar'>{article}</div>{foot}",
+        f"<body>{nav}<article>{article}</article><div class=comments><article class=comment>{comments}</article></div>",
+        f"<body>{nav}<article>{article}</article><div class=cookie-consent>{part * 5}</div>{foot}",
+    ]
+    for known in (learned, html_extraction.potentials({})):
+        assert [html_extraction.main_text(page, known) for page in pages] == [text] * len(pages)
+        tree = html_extraction.parse(f"<article>{article}<div class=ad>{part}</div></article>")
+        ad = next(p for p, seen, tag in zip(html_extraction.marginals(tree, known), tree.seen, tree.tag) if tag and seen == html_extraction.ASIDE)
+        assert 0 < ad[html_extraction.CONTENT] < 0.5
+
+
 # The pipeline
 
 
