@@ -5,9 +5,10 @@ values, smallest hash first) is written into a prefix tree over character classe
 counts are statistically compatible (ALERGIA: Hoeffding bounds on stopping and on every next class, down the subtrees).
 The probabilistic automata then score every other long run of credential signs, as it stands and in lower case, against a
 chain of character classes of ordinary words; runs above the best ordinary word are spans of the kind ``format``. A kind
-whose held-out credentials do not pass that mark is not used.
+whose held-out credentials do not pass that mark is not used. The chain counts one half of the ordinary words of all
+documents, and the best word is that of the other half, also of all documents.
 
-One pass over the whole texts finds base spans and candidates; models are fitted on samples, scores cover all candidates.
+One pass over the whole texts finds base spans and candidates, and another one, if there are credentials, ordinary words.
 NULL texts are empty, repeated rows are scanned each, without credentials nothing is inferred; columns besides ``doc_id``
 and ``text`` are not looked at.
 """
@@ -18,6 +19,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from math import log, sqrt
 
 import pandas as pd
@@ -39,7 +41,6 @@ CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_CANDIDATE = 6, 20, 16
 
 SAMPLE = 400
-ORDINARY_DOCUMENTS = 500
 ALPHA = 0.01
 UNSEEN = 1e-4
 
@@ -186,11 +187,10 @@ class Automaton:
 class Ordinary:
     """A chain of character classes of ordinary words."""
 
-    def __init__(self, strings: Iterable[str]):
+    def __init__(self, pairs: dict[str, int]):
         self.after: dict[str, Counter] = defaultdict(Counter)
-        for string in strings:
-            for one, other in zip("^" + string, string + "$"):
-                self.after[one][other] += 1
+        for (one, other), n in pairs.items():
+            self.after[one][other] += n
         self.total = {one: sum(c.values()) for one, c in self.after.items()}
 
     def log_likelihood(self, string: str) -> float:
@@ -216,20 +216,22 @@ class Grammars:
         return False
 
 
-def infer(labelled: dict[str, list[str]], words: list[str]) -> Grammars:
-    """One automaton per kind of credential; every fourth credential is held out to see whether the kind is usable."""
-    plain = [classes(w) for w in words]
-    ordinary = Ordinary(plain[::2])
-    held_words = plain[1::2]
-    formats = []
+def automata(labelled: dict[str, list[str]]) -> list[tuple[Automaton, list[str]]]:
+    """One automaton per kind of credential, and every fourth credential, which is held out to see whether it is usable."""
+    found = []
     for kind in sorted(labelled):
         forms = [classes(v) for v in labelled[kind]]
         train, held = [f for i, f in enumerate(forms) if i % 4], forms[::4]
-        if len(train) < 8:
-            continue
-        automaton = Automaton(train)
-        scores = [automaton.log_likelihood(w) - ordinary.log_likelihood(w) for w in held_words]
-        least = max([0.0, *scores])
+        if len(train) >= 8:
+            found.append((Automaton(train), held))
+    return found
+
+
+def usable(fitted: list[tuple[Automaton, list[str]]], ordinary: Ordinary, best: dict[int, float]) -> Grammars:
+    """The automata most of whose held-out credentials score above the best ordinary word."""
+    formats = []
+    for place, (automaton, held) in enumerate(fitted):
+        least = max(0.0, best.get(place, 0.0))
         passed = sum(automaton.log_likelihood(f) - ordinary.log_likelihood(f) > least for f in held)
         if passed >= len(held) / 2:
             formats.append((automaton, least))
@@ -244,30 +246,72 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _ordinary_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Forms of the words that are no credentials or candidates, how often they occur, and the half a word is in."""
     run = re.compile(r"[A-Za-z0-9+/_.=-]{6,}")
     for batch in batches:
-        found = set()
+        words: Counter = Counter()
         for text in batch["text"]:
             spans = base_spans(text)
-            mixed = {value for *_, value in candidates(text, spans)}
-            taken = {text[s:e] for _, s, e, _ in spans}
-            found.update(w for w in run.findall(text) if w not in mixed and not any(w in t or t in w for t in taken))
-        yield pd.DataFrame({"word": sorted(found)}, dtype="object")
+            mixed = candidates(text, spans)
+            if not spans and not mixed:
+                words.update(run.findall(text))
+                continue
+            known = {value for *_, value in spans} | {value for *_, value in mixed}
+            # Where a credential or a candidate covers the text.
+            taken = sorted((start, end) for _, start, end, _ in spans + mixed)
+            at = reached = 0
+            for m in run.finditer(text):
+                while at < len(taken) and taken[at][0] < m.end():
+                    reached = max(reached, taken[at][1])
+                    at += 1
+                if reached <= m.start() and m[0] not in known:
+                    words[m[0]] += 1
+        forms: Counter = Counter()
+        for word, n in words.items():
+            forms[blake2b(word.encode(), digest_size=1).digest()[0] % 2 == 1, classes(word)] += n
+        yield pd.DataFrame([(held, form, n) for (held, form), n in forms.items()], columns=["held", "form", "n"])
+
+
+def _pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        pairs: Counter = Counter()
+        for form, n in zip(batch["form"], batch["n"]):
+            for one, other in zip("^" + form, form + "$"):
+                pairs[one + other] += n
+        yield pd.DataFrame(list(pairs.items()), columns=["pair", "n"])
 
 
 def learn(docs: DataFrame, scanned: DataFrame) -> Grammars:
-    """Grammars from bounded samples of the base matches in ``scanned`` and of the words of some documents."""
+    """Grammars from bounded samples of the base matches in ``scanned`` and from the ordinary words of all documents."""
     spans = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.value").distinct()
     labelled = {
         kind: [r["value"] for r in spans.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(SAMPLE).collect()]
         for kind in KINDS[:-1]
     }
-    ids = scanned.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id")
-    # At most ORDINARY_DOCUMENTS ids.
-    some = docs.select("doc_id", whole(F.col("text")).alias("text")).join(F.broadcast(ids.limit(ORDINARY_DOCUMENTS)), "doc_id")
-    words = some.select("text").mapInPandas(_ordinary_words, "word string").distinct()
-    sample = words.orderBy(F.xxhash64("word"), "word").limit(20 * SAMPLE).collect()
-    return infer(labelled, [r["word"] for r in sample])
+    fitted = automata(labelled)
+    if not fitted:
+        return Grammars([], Ordinary({}))
+    words = docs.select(whole(F.col("text")).alias("text")).mapInPandas(_ordinary_words, "held boolean, form string, n long")
+    forms = Scratch(docs.sparkSession).keep(words.groupBy("held", "form").agg(F.sum("n").alias("n")), "forms")
+    pairs = forms.where("NOT held").mapInPandas(_pairs, "pair string, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    # At most as many rows as pairs of classes.
+    ordinary = Ordinary({r["pair"]: r["n"] for r in pairs.collect()})
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            plain = [ordinary.log_likelihood(form) for form in batch["form"]]
+            yield pd.DataFrame(
+                [
+                    (place, max(automaton.log_likelihood(form) - p for form, p in zip(batch["form"], plain)))
+                    for place, (automaton, _) in enumerate(fitted) if plain
+                ],
+                columns=["place", "score"],
+            )
+
+    best = forms.where("held").select("form").mapInPandas(scores, "place int, score double").groupBy("place").agg(
+        F.max("score").alias("score")
+    )
+    return usable(fitted, ordinary, {r["place"]: r["score"] for r in best.collect()})
 
 
 def scan(docs: DataFrame, grammars: Grammars | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 from html import unescape
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,6 +136,27 @@ def test_inferred_format_finds_unlabelled_credentials(documents, nothing, odd):
     assert secret_scan.scan(nothing).count() == 0 and secret_scan.scan(odd).where("size(spans) > 0").count() == 0
 
 
+def test_ordinary_words_of_all_documents_set_the_mark(documents):
+    hexes = [sha256(str(i).encode()).hexdigest()[:40] for i in range(60)]
+    rows = [(i, f"some plain words here token = {h} and more ordinary words follow") for i, h in enumerate(hexes)]
+    rows += [(i, f"plain ordinary words number{'xyz'[i % 3]} again") for i in range(100, 800)]
+    # Forms that only a row without an id has.
+    rare = ["".join("abcdef0123456789"[int(c, 16)] for c in sha256(str(i).encode()).hexdigest()[:15]) for i in range(40)]
+    docs = documents(*rows, (None, " ".join(rare)))
+
+    def learned(docs):
+        return secret_scan.learn(docs, secret_scan.scan(docs, secret_scan.Grammars([], secret_scan.Ordinary({}))))
+
+    some, every = learned(documents(*rows)), learned(docs)
+    assert max(least for _, least in every.formats) > max(least for _, least in some.formats)
+    # ordinary and follow, ordinary and number: words of six letters outside the credentials.
+    frames = secret_scan._ordinary_words(iter([pd.DataFrame({"text": [text for _, text in rows]})]))
+    assert sum(frame["n"].sum() for frame in frames) == 60 * 2 + 700 * 2
+    for automaton, least in every.formats:
+        scores = [automaton.log_likelihood(f) - every.ordinary.log_likelihood(f) for f in map(secret_scan.classes, rare)]
+        assert sum(score <= least for score in scores) >= len(rare) / 3
+
+
 # Packing
 
 
