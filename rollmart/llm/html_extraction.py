@@ -13,7 +13,8 @@ markup names the article itself, so that every node's label is known. What never
 as content inside boilerplate does.
 
 Text: character references are decoded, white space within a block becomes one space, blocks follow in page order with one
-space between them. Tags may be unclosed, cut off or out of order. NULL and empty pages have an empty text, repeated rows
+space between them. Tags may be unclosed, cut off or out of order; an element of ``DROPPED`` that has no end tag ends with its
+parent or at the next element of running text, a script, style or textarea without one goes on to the end of the page. NULL and empty pages have an empty text, repeated rows
 are pages of their own, columns besides page_id, url and html are not looked at.
 """
 
@@ -39,10 +40,17 @@ PLAIN, MAIN, ASIDE, MIXED, HOLDS = range(5)
 
 # Elements by what they mean, and words of class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style title noscript template svg math iframe object textarea select".split())
+DROPPED = frozenset("script style title noscript template svg iframe object textarea select".split())
+RAW = frozenset("script style textarea".split())
+FLOW = frozenset(
+    "address article aside blockquote details div dl figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section "
+    "table ul".split()
+)
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr".split()
+    "strong sub sup time tt u var wbr "
+    "math annotation menclose mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
+    "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
 CLOSES_ITSELF = frozenset("li dt dd tr td th option".split())
 MAIN_TAGS = frozenset("article main".split())
@@ -120,12 +128,25 @@ def bucket(length: int, linked: int) -> int:
     return 2 * sum(length >= limit for limit in LENGTHS) + (2 * linked > length)
 
 
+def _ends(html: str, tag: str) -> dict[int, int]:
+    """Where the elements of a tag that are closed start and end."""
+    found, open_ones = {}, []
+    for m in re.finditer(rf"<(/?){re.escape(tag)}(?=[\s/>])([^>]*)(?:>|\Z)", html, re.IGNORECASE):
+        if not m[1]:
+            if not m[2].rstrip().endswith("/"):
+                open_ones.append(m.start())
+        elif open_ones:
+            found[open_ones.pop()] = m.end()
+    return found
+
+
 def parse(html: str) -> Tree:
     tree = Tree()
     stack = [tree.add(-1, "html", PLAIN)]
     open_tags = ["html"]
     pending: list[str] = []
-    linked = links = at = 0
+    linked = links = hidden = at = 0
+    ends: dict[str, dict[int, int]] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -144,12 +165,15 @@ def parse(html: str) -> Tree:
         return 0
 
     def close(place: int) -> None:
-        nonlocal links
+        nonlocal links, hidden
         links -= sum(tag == "a" for tag in open_tags[place:])
+        hidden -= sum(tag in DROPPED for tag in open_tags[place:])
         del stack[place:], open_tags[place:]
 
     def say(raw: str) -> None:
         nonlocal linked
+        if hidden:
+            return
         text = unescape(raw) if "&" in raw else raw
         pending.append(text)
         if links:
@@ -178,10 +202,28 @@ def parse(html: str) -> Tree:
                 flush()
             continue
         if tag in DROPPED:
-            if not attributes.rstrip().endswith("/"):
+            if attributes.rstrip().endswith("/"):
+                continue
+            if tag in RAW or tag == "title":
                 closing = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
-                at = closing.end() if closing else end
+                if closing:
+                    at = closing.end()
+                else:
+                    following = html.find("<", at)
+                    at = end if tag in RAW or following < 0 else following
+                continue
+            if tag not in ends:
+                ends[tag] = _ends(html, tag)
+            if token.start() in ends[tag]:
+                at = max(at, ends[tag][token.start()])
+                continue
+            flush()
+            stack.append(tree.add(stack[-1], tag, PLAIN))
+            open_tags.append(tag)
+            hidden += 1
             continue
+        if hidden and tag in FLOW:
+            close(next(i for i, t in enumerate(open_tags) if t in DROPPED))
         if tag in ("html", "body", "head"):
             flush()
             continue

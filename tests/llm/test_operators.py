@@ -464,6 +464,21 @@ def test_articles_in_wrappers_with_boilerplate_words(spark):
         assert 0 < ad[html_extraction.CONTENT] < 0.5
 
 
+def test_dropped_elements_without_an_end_tag(spark):
+    known = html_extraction.train(spark.read.parquet(f"{SF}/pages.parquet"))
+    article = "<article><h1>Head</h1><p>The first part of the article.<p>And the second.</article>"
+    text = "Head The first part of the article. And the second."
+    for tag in ("select", "object", "svg", "iframe", "template", "noscript", "title"):
+        for page in (f"<body><div><{tag} x=y>no</div>{article}", f"<body><{tag}>no{article}", f"<{tag}>{article}<{tag}>no</{tag}>"):
+            if tag != "title" or page.count("title") == 1:
+                assert html_extraction.main_text(page, known)== text, page
+        assert html_extraction.main_text(f"<{tag}>no<{tag}>no</{tag}></{tag}>{article}", known) == text or tag == "title"
+        assert html_extraction.main_text(f"<{tag}><p>no</p></{tag}>{article}", known) == text
+    formula = "<article><h1>Head</h1><p>Where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds.</article>"
+    assert html_extraction.main_text(formula, known) == "Head Where x=1 holds."
+    assert html_extraction.main_text(f"<article><h1>Head</h1></article><script>{article}", known) == "Head"
+
+
 # The pipeline
 
 
