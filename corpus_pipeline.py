@@ -25,7 +25,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each source gives its share: documents are left out, taken, repeated or cut where the share ends."""
+    """Each source gives its share: documents are left out, taken or repeated, always whole."""
     return mixing.mixed_documents(docs)
 
 

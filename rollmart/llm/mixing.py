@@ -3,7 +3,8 @@
 Targets share the size of the whole corpus by weight; none exceeds ``MAX_REPEATS`` times its source, what is above goes
 to the others by weight. The corpus is a number of equal blocks; they are dealt to the sources by highest quotients
 target / (2 seats + 1), and each source's blocks in the same way to its shards by their words. A shard orders its
-documents by a seeded hash and reads its stream of blocks, again from the start if need be, until the quota is met.
+documents by a seeded hash and reads its stream of blocks, again from the start if need be, until the quota is met. The mix
+as documents takes the one at which the quota is met whole or not at all; the difference goes to the next shard.
 
 Only one row per source comes to the driver (a mix lists its sources). Large sources are split into shards of about
 ``SHARD_WORDS`` words, up to ``MAX_SHARDS`` of them, so no task holds a source. NULL texts have no words and are never
@@ -14,16 +15,14 @@ depends on the order of the input; an empty table gives an empty mix.
 from __future__ import annotations
 
 import heapq
-import re
-from collections.abc import Iterator, Sequence
-from itertools import islice
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.folders import Scratch
-from .common import WORD, words
+from .common import words
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
@@ -123,7 +122,7 @@ def plan(sized: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS)
 
 
 def take(rows: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """Adds source_size, target, taken, and the whole passes (_passes) that ``taken`` holds.
+    """Adds source_size, target, taken, the whole passes (_passes) that ``taken`` holds, and _key and _shard.
 
     ``rows`` has doc_id, source and size, and is evaluated twice.
     """
@@ -143,35 +142,37 @@ def take(rows: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS,
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start")))
     return planned.withColumn("_passes", passes).select(
         *rows.columns, "source_size", "target", (F.col("_passes") * F.col("size") + part).cast("long").alias("taken"),
-        "_passes",
+        "_passes", "_key", "_shard",
     )
 
 
-def _first_words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """A text up to the end of its n-th word."""
-    word = re.compile(WORD)
-
-    def cut(text: str, n: int) -> str:
-        *_, last = islice(word.finditer(text), n)
-        return text[: last.end()]
-
-    for texts, counts in batches:
-        yield pd.Series([cut(t, n) for t, n in zip(texts, counts)], dtype="object")
+def _settle(borders: pd.DataFrame) -> pd.DataFrame:
+    """Which documents at the borders of a source's shards, one a shard, are taken: what is owed or ahead is carried on."""
+    borders = borders.sort_values("_at")
+    owed, whole = 0, []
+    for size, piece in zip(borders["_size"], borders["_piece"]):
+        owed += piece
+        whole.append(2 * owed >= size)
+        owed -= size * whole[-1]
+    return borders.assign(_whole=pd.Series(whole, index=borders.index, dtype="bool"))[["_of", "_at", "_whole"]]
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """The mix as documents with the columns of ``docs``: a row for each time a document is taken as a whole, and the
-    beginning of the one document at which a shard meets its quota."""
-    cut = F.pandas_udf(_first_words, "string")
+    """The mix as documents with the columns of ``docs``: a row for each time a document is taken, always as a whole.
+
+    A source differs from its target by half of a document at a shard's border at most, and by what rounding to blocks leaves.
+    """
+    scratch = Scratch(docs.sparkSession)
     rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", n_words(F.col("text")).alias("size"))
-    taken = take(rows, Scratch(docs.sparkSession), weights, seed).where("taken > 0")
     piece = F.col("taken") - F.col("_passes") * F.col("size")
-    whole_times = (F.col("_passes") + (piece == F.col("size")).cast("long")).cast("int")
-    # The number of words of each copy.
-    begun_one = F.filter(F.array(piece), lambda n: (n > 0) & (n < F.col("size")))
-    times = F.concat(F.array_repeat(F.col("size"), whole_times), begun_one)
-    copies = taken.select("_row", "size", F.explode(times).alias("_n"))
-    full = copies.where("_n = size").select("_row.*")
-    begun = copies.where("_n < size").select("_row.*", "_n")
-    text = cut(F.col("text"), F.col("_n"))
-    return full.unionByName(begun.withColumn("text", text).drop("_n"))
+    taken = take(rows, scratch, weights, seed).where("taken > 0").withColumn("_piece", piece)
+    cut = (F.col("_piece") > 0) & (F.col("_piece") < F.col("size"))
+    borders = taken.where(cut).select(
+        F.col("_key").alias("_of"), F.col("_shard").alias("_at"), F.col("size").alias("_size"), "_piece"
+    )
+    # At most MAX_SHARDS rows a source.
+    settled = scratch.keep(borders.groupBy("_of").applyInPandas(_settle, "_of string, _at int, _whole boolean"), "borders")
+    joined = taken.join(settled, cut & (F.col("_key") == F.col("_of")) & (F.col("_shard") == F.col("_at")), "left")
+    whole = (F.col("_piece") == F.col("size")) | F.coalesce("_whole", F.lit(False))
+    times = (F.col("_passes") + whole.cast("long")).cast("int")
+    return joined.select("_row", F.explode(F.array_repeat(F.lit(0), times))).select("_row.*")

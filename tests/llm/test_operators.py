@@ -339,6 +339,23 @@ def test_mixed_documents(documents, odd, nothing):
     assert mixing.mixed_documents(nothing).count() == 0 and mixing.mixed_documents(odd).count() > 0
 
 
+def test_mixed_documents_are_whole(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 300)
+    texts = {i: " ".join(f"w{i}x{k}" for k in range(3 + i * 7 % 90)) for i in range(400)}
+    docs = documents(*((i, t, "xyz"[i % 3]) for i, t in texts.items()), (1000, "word " * 999, "long"))
+    mixed = mixing.mixed_documents(docs).collect()
+    assert all(r["text"] == texts.get(r["doc_id"], "word " * 999) for r in mixed)
+    sizes, given = Counter(), Counter()
+    for i, t in texts.items():
+        sizes["xyz"[i % 3]] += len(t.split())
+    sizes["long"] = 999
+    for r in mixed:
+        given[r["source"]] += len(r["text"].split())
+    names = sorted(sizes)
+    for name, aim in zip(names, mixing.targets([sizes[n] for n in names], [1, 2, 3, 1])):
+        assert abs(given[name] - aim) <= (999 if name == "long" else 92) / 2 + 20
+
+
 # Dedup
 
 
