@@ -42,7 +42,3 @@ def raw(spark):
 
     pupils.marks = marks
     return pupils
-
-
-def snapshot(day, pupil, academy="North", first="Ann", last="Lee", status="In", grade_id="1", grade="PRIMARY1", stream="a"):
-    return (day, pupil, academy, first, last, status, grade_id, grade, stream)

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import snapshot
+from samples import snapshot
 from rollmart.functions.calendar import new_batch_id
 from rollmart.plans import daily, dims, fact, stage, sync
 from rollmart.schemas import ATTENDANCE_EXTRACT, PUPIL_EXTRACT, WAREHOUSE

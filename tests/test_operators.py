@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import snapshot
+from samples import snapshot
 from rollmart.operators import keyed, numbering
 from rollmart.plans import stage
 from rollmart.sources.folders import Scratch

@@ -8,7 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import snapshot
+from samples import snapshot
 from rollmart.operators import keyed
 from rollmart.plans import checks, daily, dims, fact, marts, stage
 from rollmart.schemas import STG_PUPIL

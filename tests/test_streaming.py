@@ -4,7 +4,7 @@ import csv
 
 import pytest
 
-from conftest import snapshot
+from samples import snapshot
 from rollmart.plans import daily, fact
 from rollmart.schemas import ATTENDANCE_EXTRACT, PUPIL_EXTRACT
 from rollmart.streaming.intake import stage_arrivals
