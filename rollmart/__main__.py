@@ -7,6 +7,7 @@ import argparse
 from . import session
 from .functions.calendar import new_batch_id
 from .plans import daily, fact, sqlfile, sync
+from .sources import extracts
 from .sources.store import Store, layer_order
 from .sources.targets import JdbcTarget, ParquetTarget, TsvTarget
 
@@ -23,7 +24,8 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--batch-id")
     run.add_argument("--advance", choices=(fact.STRICT, fact.NEXT_AVAILABLE), default=fact.STRICT)
     run.add_argument("--unreadable", choices=("zero", "reject"), default="zero")
-    run.add_argument("--multiline", action="store_true", help="cells may hold line breaks")
+    run.add_argument("--multiline", action="store_true", help="read every file as one piece; left out, only those that need it")
+    run.add_argument("--malformed", choices=("reject", "fail"), default="reject")
 
     report = steps.add_parser("report", help="publish the tables, build and test the marts")
     report.add_argument("target", help="jdbc:..., parquet:FOLDER or tsv:FOLDER")
@@ -36,7 +38,7 @@ def parser() -> argparse.ArgumentParser:
     sql = steps.add_parser("sql", help="run a SQL file over the tables")
     sql.add_argument("file")
     sql.add_argument("--arg", action="append", default=[], metavar="NAME=VALUE")
-    sql.add_argument("--rows", type=int, default=100, help="rows to print of each result")
+    sql.add_argument("--rows", type=int, help="rows to print of each result; all if left out")
 
     for name in ("counts", "truncate", "drop"):
         steps.add_parser(name)
@@ -56,6 +58,23 @@ def target_of(spark, name: str, options: dict[str, str]):
     raise SystemExit(f"unknown target {name!r}")
 
 
+def show(result: sqlfile.StatementResult, limit: int | None) -> None:
+    """Prints the rows of a statement, a partition at a time, and how many there are or were changed."""
+    if result.affected is not None:
+        print(f"{result.kind}: {result.affected} rows affected")
+    elif result.rows.columns:
+        rows, n = result.rows, 0
+
+        def line(cells) -> str:
+            return "|" + "|".join(f"{cell!s:<{len(name)}}" for cell, name in zip(cells, rows.columns)) + "|"
+
+        print(line(rows.columns))
+        for row in (rows if limit is None else rows.limit(limit)).toLocalIterator():
+            print(line("NULL" if cell is None else cell for cell in row))
+            n += 1
+        print(f"{n} rows")
+
+
 def main(arguments: list[str] | None = None) -> None:
     args = parser().parse_args(arguments)
     spark = session.build(args.master)
@@ -63,7 +82,8 @@ def main(arguments: list[str] | None = None) -> None:
     if args.step == "run":
         batch = args.batch_id or new_batch_id()
         print(daily.run_daily(
-            store, args.pupils, args.attendance, batch, args.advance, args.unreadable, args.multiline
+            store, args.pupils, args.attendance, batch, args.advance, args.unreadable,
+            args.multiline or extracts.AUTO, args.malformed
         ))
     elif args.step == "report":
         target = target_of(spark, args.target, pairs(args.option))
@@ -71,9 +91,8 @@ def main(arguments: list[str] | None = None) -> None:
             store, target, args.mode, args.batch_id, severity=args.severity, rebuild=args.rebuild
         ))
     elif args.step == "sql":
-        for result in sqlfile.run_sql_file(store, args.file, pairs(args.arg)):
-            if result.columns:
-                result.show(args.rows, truncate=False)
+        for result in sqlfile.run_statements(store, args.file, pairs(args.arg)):
+            show(result, args.rows)
     elif args.step == "counts":
         store.row_counts().orderBy(*layer_order()).show(truncate=False)
     elif args.step == "truncate":

@@ -91,6 +91,22 @@ def foreign_key_checks(store: Store, days: list[date] | None = None) -> DataFram
     )
 
 
+def check_keys(store: Store) -> list[date]:
+    """Test the keys of all fact days that were written since their last check; returns those days.
+
+    A repeated key or a value that its dimension lacks raises, and the days stay in doubt, so that nothing is published
+    until they are mended. Days that passed are not read again: what was loaded never changes.
+    """
+    days = store.doubted_days()
+    if not days:
+        return []
+    report = key_checks(store, days).unionByName(foreign_key_checks(store, days)).where("failures > 0").collect()
+    if report:
+        raise DataTestFailure(sorted((r["table_name"], r["column_name"], r["test"], r["failures"]) for r in report))
+    store.trust_days(days)
+    return days
+
+
 def mart_checks(store: Store) -> DataFrame:
     """The declared tests on the marts, one row per test."""
     return not_null_checks(store).unionByName(unique_checks(store))

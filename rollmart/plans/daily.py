@@ -7,10 +7,11 @@ from datetime import date
 
 from ..functions.calendar import new_batch_id
 from ..operators.keyed import InsertResult
-from ..sources.extracts import load_raw
+from ..sources.extracts import AUTO, load_raw
+from ..schemas import MARTS
 from ..sources.store import Store
 from . import fact
-from .checks import run_checks
+from .checks import check_keys, run_checks
 from .dims import load_dims
 from .marts import build_marts
 from .stage import load_stage
@@ -23,6 +24,7 @@ class DailyResult:
     stage: tuple[InsertResult, InsertResult]
     dims: dict[str, int]
     fact: fact.LoadResult
+    rejected: dict[str, int]
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,7 @@ class ReportingResult:
     synced: list[SyncResult]
     marts: dict[str, int]
     failures: list[tuple[str, str, str, int]]
+    published_marts: dict[str, int]
 
 
 def load_stage_and_dims(
@@ -55,23 +58,32 @@ def load_stage_and_dims(
 
 def run_daily(
     store: Store, pupil_csv: str, attendance_csv: str, batch_id: str,
-    advance: str = fact.STRICT, unreadable: str = "zero", multiline: bool = False,
+    advance: str = fact.STRICT, unreadable: str = "zero", multiline: bool | str = AUTO, malformed: str = "reject",
 ) -> DailyResult:
-    """One daily run: tables, raw, stage, dimensions, next fact day. Every step may be repeated."""
+    """One daily run: tables, raw, stage, dimensions, next fact day, and the test of its keys.
+
+    Every step may be repeated. A repeated key or a missing member raises; the day then stays in doubt, and no
+    reporting run publishes anything before it passes.
+    """
     store.create_missing()
-    raw = load_raw(store, pupil_csv, attendance_csv, multiline)
+    raw = load_raw(store, pupil_csv, attendance_csv, multiline, malformed)
     staged, added = load_stage_and_dims(store, unreadable)
-    return DailyResult(raw, staged, added, fact.load_next(store, batch_id, advance))
+    result = fact.load_next(store, batch_id, advance)
+    check_keys(store)
+    return DailyResult(raw.rows, staged, added, result, raw.rejected)
 
 
 def run_reporting(
     store: Store, target, mode: str = FULL, batch_id: str | None = None, day: date | None = None,
     severity: str = "error", rebuild: bool = False,
 ) -> ReportingResult:
-    """Publish the tables, build the marts, and only then test them; a failing test fails the run."""
+    """Test the keys of new fact days, publish the tables, build and publish the marts, and only then test these; a
+    failing test fails the run."""
+    check_keys(store)
     synced = sync_all(store, target, mode, batch_id, day)
     marts = build_marts(store, rebuild)
-    return ReportingResult(synced, marts, run_checks(store, severity))
+    published = {mart.name: target.replace(mart.name, store.read(mart.name)) for mart in MARTS}
+    return ReportingResult(synced, marts, run_checks(store, severity), published)
 
 
 def run_day(

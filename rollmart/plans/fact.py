@@ -6,16 +6,18 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators.keyed import unknown_keys
-from ..schemas import DIM_DATE, FACT, MART_RATE, STG_ATTENDANCE, STG_PUPIL
+from ..operators.keyed import first_per_key, unknown_keys
+from ..schemas import DIM_DATE, DIM_PUPIL, FACT, MART_RATE, STG_ATTENDANCE, STG_PUPIL
 from ..sources.store import Store
 
 STRICT, NEXT_AVAILABLE = "strict", "next_available"
 # Fixed value: label of the load summary.
 SUMMARY_LABEL = "INCREMENTAL LOAD RESULT"
+# Which of several rows with one key comes first: the members that were numbered first.
+FIRST = ("academy_key", "grade_key", "stream_key", "status", "attendance")
 
 
 @dataclass(frozen=True)
@@ -24,6 +26,7 @@ class LoadResult:
     target: date | None
     inserted: int
     stalled: bool
+    ignored: int = 0
 
 
 def target_date(fact: DataFrame, dates: DataFrame) -> DataFrame:
@@ -84,7 +87,7 @@ def staged_with_marks(pupils: DataFrame, marks: DataFrame) -> DataFrame:
 def _heal(store: Store) -> None:
     # A history load starts from an empty fact, so all that a cut-off one left behind is its own.
     if store.folders.exists(f"{store.root}/_open-history"):
-        store.folders.remove(store.own_path(FACT.name))
+        store.folders.remove(store.own_base(FACT.name))
         store.forget(MART_RATE.name)
         store.close_step("history")
 
@@ -102,6 +105,41 @@ def _check(advance: str) -> None:
         raise ValueError(f"advance must be {STRICT!r} or {NEXT_AVAILABLE!r}, not {advance!r}")
 
 
+def _one_per_key(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """The first row of each (day, pupil), and how many rows were offered.
+
+    The copies that a member held twice brings are cut in the tasks that make them, before the shuffle by key.
+    """
+    offered = Observation()
+    return first_per_key(rows.observe(offered, F.count(F.lit(1)).alias("rows")), FACT.key, FIRST), offered
+
+
+def insert_day(store: Store, day: date, batch_id: str) -> tuple[int, int]:
+    """Insert or ignore the rows of one day; returns how many were inserted and how many ignored.
+
+    A pupil has one row a day: of several the first one stays, and a row that is there already is never replaced. A
+    new day is staged aside and moved into place whole; a day that is there gets the rows it lacks, and the rate mart
+    makes that day anew.
+    """
+    if not batch_id:
+        raise ValueError("a batch id is required")
+    store.own_base(FACT.name)
+    fresh, offered = _one_per_key(build_day(store, day, batch_id))
+    held = day in store.days(FACT.name)
+    if held:
+        fresh = unknown_keys(fresh, store.read(FACT.name, [day]), FACT.key)
+    store.announce_batch(batch_id, day)
+    store.doubt_days([day])
+    inserted = (store.append if held else store.put_days)(FACT.name, fresh)["rows"]
+    if inserted:
+        store.log_batch(batch_id, day, inserted)
+        if held and MART_RATE.name not in store.elsewhere:
+            store.drop_days(MART_RATE.name, [day])
+    else:
+        store.trust_days([day])
+    return inserted, offered.get["rows"] - inserted
+
+
 def load_next(store: Store, batch_id: str, advance: str = STRICT) -> LoadResult:
     """Load the next day of the fact.
 
@@ -122,9 +160,9 @@ def load_next(store: Store, batch_id: str, advance: str = STRICT) -> LoadResult:
     for day in ahead if advance == NEXT_AVAILABLE else ahead[:1]:
         if advance == STRICT and day != target:
             break
-        inserted = store.put_days(FACT.name, build_day(store, day, batch_id))["rows"]
+        inserted, ignored = insert_day(store, day, batch_id)
         if inserted:
-            return LoadResult(batch_id, day, inserted, False)
+            return LoadResult(batch_id, day, inserted, False, ignored)
     stalled = advance == STRICT and any(day > target for day in ahead)
     return LoadResult(batch_id, target, 0, stalled)
 
@@ -145,28 +183,44 @@ def load_history(store: Store, batch_of: Callable[[Column], Column], advance: st
     """
     _check(advance)
     # Refused before anything is marked or removed if the fact belongs to another store.
-    store.own_path(FACT.name)
+    store.own_base(FACT.name)
     _heal(store)
     if store.days(FACT.name):
         raise RuntimeError("the fact is not empty; use load_next")
     start = _first_calendar_day(store)
     days = [day for day in _stage_days(store) if start and day >= start]
     if advance == STRICT:
-        days = _unbroken(days, start)
+        # Staged days alone may reach over a day without joined rows, where daily loads stop.
+        days = _unbroken(sorted(_days_with_rows(store, _unbroken(days, start))), start)
     if not days:
         return LoadResult("", start, 0, False)
     pupils, marks = store.read(STG_PUPIL.name, days), store.read(STG_ATTENDANCE.name, days)
-    rows = _keyed(store, staged_with_marks(pupils, marks), batch_of(F.col("fact_date")))
+    rows, offered = _one_per_key(_keyed(store, staged_with_marks(pupils, marks), batch_of(F.col("fact_date"))))
     store.open_step("history")
-    inserted = store.put_days(FACT.name, rows.hint("rebalance", FACT.day))["rows"]
-    loaded = store.days(FACT.name)
-    if advance == STRICT and loaded != _unbroken(loaded, start):
-        # A day with staged rows but no joined ones: daily loads would have stopped there.
-        store.drop_days(FACT.name, loaded[len(_unbroken(loaded, start)):])
-        inserted = store.read(FACT.name).count()
-        loaded = store.days(FACT.name)
+    store.doubt_days(days)
+    # One row per calendar day.
+    named = store.spark.createDataFrame([(day,) for day in days], "fact_date date")
+    batches = {r["fact_date"]: r["batch"] for r in named.select("fact_date", batch_of(F.col("fact_date")).alias("batch")).collect()}
+    for day, batch in batches.items():
+        store.announce_batch(batch, day)
+    written = store.put_days(FACT.name, rows.hint("rebalance", FACT.day))
+    loaded = store.read(FACT.name, written["days"]).groupBy(FACT.day).agg(F.count(F.lit(1)).alias("n"))
+    for r in loaded.collect():
+        store.log_batch(batches[r[FACT.day]], r[FACT.day], r["n"])
+    store.trust_days(set(days) - set(written["days"]))
     store.close_step("history")
-    return LoadResult("", loaded[-1] if loaded else start, inserted, False)
+    last = written["days"][-1] if written["days"] else start
+    return LoadResult("", last, written["rows"], False, offered.get["rows"] - written["rows"])
+
+
+def _days_with_rows(store: Store, days: list[date]) -> set[date]:
+    """The days that have a row to load, from keys alone."""
+    staged = store.read(STG_PUPIL.name, days).select("snapshot_date", "pupil_id")
+    marks = store.read(STG_ATTENDANCE.name, days).select(F.col("attendance_date").alias("snapshot_date"), "pupil_id")
+    known = staged.join(store.read(DIM_PUPIL.name).select("pupil_id"), "pupil_id", "left_semi")
+    found = known.join(marks, ["snapshot_date", "pupil_id"], "left_semi").select("snapshot_date").distinct()
+    listed = found.join(store.read(DIM_DATE.name).select(F.col("date").alias("snapshot_date")), "snapshot_date", "left_semi")
+    return {r["snapshot_date"] for r in listed.collect()}
 
 
 def load_summary(store: Store, result: LoadResult) -> DataFrame:

@@ -23,13 +23,24 @@ class SyncResult:
 
 
 def extract(store: Store, name: str, batch_id: str | None = None, day: date | None = None) -> DataFrame:
-    """A whole table, or only one batch of the fact; ``day`` narrows the scan to the folder of that batch."""
-    rows = store.read(name)
-    if name == FACT.name and batch_id:
-        rows = rows.where(F.col("prcs_id") == F.lit(batch_id))
-        if day:
-            rows = rows.where(F.col(FACT.day) == F.lit(day))
-    return rows
+    """A whole table, or only one batch of the fact, from the folders of the days that it was loaded to."""
+    if name != FACT.name or not batch_id:
+        return store.read(name)
+    days = batch_days(store, batch_id, day)
+    held = None if days is None else [d for d in store.days(name) if d in days]
+    return store.read(name, held).where(F.col("prcs_id") == F.lit(batch_id))
+
+
+def batch_days(store: Store, batch_id: str, day: date | None = None) -> list[date] | None:
+    """The days of a batch: the given one, else those of the load log; None for a batch that no load logged."""
+    return [day] if day else store.batch_days(batch_id)
+
+
+def held_rows(store: Store, target, batch_id: str, day: date | None = None) -> DataFrame:
+    """What the target holds of a batch of the fact; by day, where the load log knows its days."""
+    held = target.read(FACT.name, FACT.schema).where(F.col("prcs_id") == F.lit(batch_id))
+    days = batch_days(store, batch_id, day)
+    return held if days is None else held.where(F.col(FACT.day).isin(days))
 
 
 def sync_table(
@@ -51,7 +62,7 @@ def sync_table(
         return SyncResult(name, 0, True)
     if not (by_batch and mode == BATCH_APPEND):
         return SyncResult(name, target.replace(name, rows), False)
-    held = target.read(name, TABLES[name].schema).where(F.col("prcs_id") == F.lit(batch_id))
+    held = held_rows(store, target, batch_id, day)
     return SyncResult(name, target.append(name, unknown_keys(rows, held, FACT.key)), False)
 
 

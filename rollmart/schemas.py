@@ -39,6 +39,11 @@ ATTENDANCE_EXTRACT = ("Date", "PupilID", "Attendance")
 RAW_PUPIL = Table("raw_pupil", _struct(**dict.fromkeys(PUPIL_EXTRACT, STRING), **_ORDER_FIELDS))
 RAW_ATTENDANCE = Table("raw_pupil_attendance", _struct(**dict.fromkeys(ATTENDANCE_EXTRACT, STRING), **_ORDER_FIELDS))
 
+# What no extract row can be made of; replaced with the raw tables, added to by streams.
+RAW_REJECTED = Table(
+    "raw_rejected", _struct(extract=STRING, first_cell=STRING, text=STRING, reason=STRING, **_ORDER_FIELDS)
+)
+
 STG_PUPIL = Table(
     "stg_pupil",
     _struct(
@@ -117,7 +122,7 @@ WAREHOUSE = (
 )
 MARTS = (MART_RATE, MART_WEEKDAY, MART_BENCHMARKS)
 PUBLISHED = (FACT, DIM_DATE, DIM_PUPIL, DIM_ACADEMY, DIM_GRADE, DIM_STREAM)
-TABLES = {table.name: table for table in WAREHOUSE + MARTS}
+TABLES = {table.name: table for table in (*WAREHOUSE, *MARTS, RAW_REJECTED)}
 
 # Natural keys declared UNIQUE besides the primary keys.
 UNIQUE_KEYS = {

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from typing import TypeVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 
 from ..session import shared_folder
 
+Result = TypeVar("Result")
+
 
 class Folders:
     def __init__(self, spark: SparkSession):
@@ -38,6 +42,44 @@ class Folders:
         return [status.getPath().getName() for status in fs.listStatus(location)]
 
 
+class Versions:
+    """Whole tables below ``base`` that are replaced by publishing another folder.
+
+    The first rows lie in ``base`` itself. What replaces them is written beside them and published by one marker, the last
+    step, which is made or not made. The version before it stays for whoever reads it still; older ones go. A version
+    that was cut off has no marker and is overwritten by the next attempt.
+    """
+
+    _MARK = "_published-"
+
+    def __init__(self, folders: Folders, base: str):
+        self.folders, self.base = folders, base
+
+    def _published(self) -> int:
+        marks = (n for n in self.folders.names(self.base) if n.startswith(self._MARK))
+        return max((int(n.removeprefix(self._MARK)) for n in marks), default=0)
+
+    def _folder(self, version: int) -> str:
+        return f"{self.base}/v{version:08d}" if version else self.base
+
+    def current(self) -> str:
+        """The folder to read, and to append to."""
+        return self._folder(self._published())
+
+    def replace(self, write: Callable[[str], Result]) -> Result:
+        """Run ``write`` with the folder of the next version, and publish that."""
+        if not self.folders.names(self.base):
+            return write(self.base)
+        version = self._published() + 1
+        result = write(self._folder(version))
+        self.folders.make(f"{self.base}/{self._MARK}{version:08d}")
+        kept = {f"{kind}{v:08d}" for kind in ("v", self._MARK) for v in (version - 1, version)}
+        for name in self.folders.names(self.base) if version > 1 else ():
+            if name not in kept:
+                self.folders.remove(f"{self.base}/{name}")
+        return result
+
+
 class Scratch:
     """Intermediate tables in the shared folder.
 

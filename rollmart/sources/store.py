@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Collection
 from datetime import date
 from functools import reduce
+from urllib.parse import quote, unquote
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import MARTS, TABLES, WAREHOUSE
-from .folders import Folders, Scratch
+from ..schemas import FACT, MARTS, RAW_REJECTED, TABLES, WAREHOUSE
+from .folders import Folders, Scratch, Versions
 
 
 class Store:
@@ -24,16 +26,20 @@ class Store:
 
     def branch(self, root: str, own: list[str]) -> "Store":
         """A store that keeps the tables in ``own`` itself and reads all others from this one."""
-        shared = {name: self.path(name) for name in TABLES if name not in own}
+        shared = {name: self.base(name) for name in TABLES if name not in own}
         return Store(self.spark, root, shared)
 
-    def path(self, name: str) -> str:
+    def base(self, name: str) -> str:
         return self.elsewhere.get(name, f"{self.root}/{TABLES[name].name}")
 
-    def own_path(self, name: str) -> str:
+    def own_base(self, name: str) -> str:
         if name in self.elsewhere:
             raise PermissionError(f"{name} belongs to another store")
-        return self.path(name)
+        return self.base(name)
+
+    def path(self, name: str) -> str:
+        """Where the rows are: day-partitioned tables swap days, all others whole versions."""
+        return self.base(name) if TABLES[name].day else Versions(self.folders, self.base(name)).current()
 
     def scratch(self) -> Scratch:
         return Scratch(self.spark)
@@ -41,7 +47,7 @@ class Store:
     # reading
 
     def exists(self, name: str) -> bool:
-        return self.folders.exists(self.path(name))
+        return self.folders.exists(self.base(name))
 
     def read(self, name: str, days: list[date] | None = None) -> DataFrame:
         """The table, or an empty frame with its schema when nothing was written yet.
@@ -69,17 +75,18 @@ class Store:
 
     def drop_days(self, name: str, days: list[date]) -> None:
         for day in days:
-            self.folders.remove(f"{self.own_path(name)}/{TABLES[name].day}={day}")
+            self.folders.remove(f"{self.own_base(name)}/{TABLES[name].day}={day}")
 
-    def register_views(self) -> None:
-        """Temporary views over all tables, for SQL text."""
-        for name in TABLES:
+    def register_views(self, names: Collection[str] = tuple(TABLES)) -> None:
+        """Temporary views over the tables, for SQL text."""
+        for name in names:
             self.read(name).createOrReplaceTempView(name)
 
     # writing
 
-    def _write(self, name: str, rows: DataFrame, mode: str, **options: str) -> dict:
+    def _write(self, name: str, rows: DataFrame, mode: str, path: str | None = None, **options: str) -> dict:
         table = TABLES[name]
+        self.own_base(name)
         seen = Observation()
         measures = [F.count(F.lit(1)).alias("rows")]
         if table.day:
@@ -88,7 +95,7 @@ class Store:
         writer = rows.select(*table.columns).observe(seen, *measures).write.mode(mode).options(**options)
         if table.day:
             writer = writer.partitionBy(table.day)
-        writer.parquet(self.own_path(name))
+        writer.parquet(path or self.path(name))
         result = seen.get
         days = sorted(date.fromisoformat(day) for day in result.get("days", "").split(",") if day)
         return {"rows": result["rows"], "days": days}
@@ -98,8 +105,18 @@ class Store:
         return self._write(name, rows, "append")
 
     def replace(self, name: str, rows: DataFrame) -> dict:
-        """Overwrite the whole table. ``rows`` must not read the table itself: its files go first."""
-        return self._write(name, rows, "overwrite", partitionOverwriteMode="static")
+        """Put other rows in the place of the whole table.
+
+        They are written beside it and published at the end, so a failing write leaves the old rows, and ``rows`` may
+        read the table itself. Of a day-partitioned table each day is swapped on its own.
+        """
+        if TABLES[name].day:
+            before = self.days(name)
+            written = self.put_days(name, rows)
+            self.drop_days(name, [day for day in before if day not in written["days"]])
+            return written
+        versions = Versions(self.folders, self.own_base(name))
+        return versions.replace(lambda path: self._write(name, rows, "overwrite", path))
 
     def put_days(self, name: str, rows: DataFrame) -> dict:
         """Write whole days; a day already there is swapped, other days stay.
@@ -136,19 +153,59 @@ class Store:
         for day in days:
             self.folders.remove(f"{self.root}/_noted/{day}")
 
+    # notes beside the fact: its days that no check has passed yet, and the days of each batch
+
+    def _beside_fact(self, note: str) -> str:
+        return f"{self.base(FACT.name).rpartition('/')[0]}/{note}"
+
+    def doubt_days(self, days: Collection[date]) -> None:
+        for day in days:
+            self.folders.make(f"{self._beside_fact('_unchecked')}/{day}")
+
+    def doubted_days(self) -> list[date]:
+        return sorted(date.fromisoformat(day) for day in self.folders.names(self._beside_fact("_unchecked")))
+
+    def trust_days(self, days: Collection[date]) -> None:
+        for day in days:
+            self.folders.remove(f"{self._beside_fact('_unchecked')}/{day}")
+
+    def announce_batch(self, batch_id: str, day: date) -> None:
+        """Noted before a batch writes to a day, so that the log never lacks one of its days."""
+        self.folders.make(f"{self._beside_fact('_batches')}/{quote(batch_id, safe='')}/{day}")
+
+    def log_batch(self, batch_id: str, day: date, rows: int) -> None:
+        """Noted when its rows are there."""
+        self.folders.make(f"{self._beside_fact('_batches')}/{quote(batch_id, safe='')}/{day}+{rows}+{uuid4().hex[:8]}")
+
+    def batch_days(self, batch_id: str) -> list[date] | None:
+        """The days a batch may have written to; None if no load logged it."""
+        found = self.folders.names(f"{self._beside_fact('_batches')}/{quote(batch_id, safe='')}")
+        return sorted({date.fromisoformat(name.partition("+")[0]) for name in found}) or None
+
+    def load_log(self) -> list[tuple[str, date, int]]:
+        """Batch, day and rows of all loads that came to their end."""
+        rows: dict[tuple[str, date], int] = {}
+        for batch in self.folders.names(self._beside_fact("_batches")):
+            for name in self.folders.names(f"{self._beside_fact('_batches')}/{batch}"):
+                day, done, count = name.partition("+")
+                if done:
+                    key = unquote(batch), date.fromisoformat(day)
+                    rows[key] = rows.get(key, 0) + int(count.partition("+")[0])
+        return sorted((batch, day, n) for (batch, day), n in rows.items())
+
     # maintenance
 
     def create_missing(self) -> list[str]:
         """Create the folders of absent warehouse tables; returns the names created."""
         absent = [table.name for table in WAREHOUSE if not self.exists(table.name)]
         for name in absent:
-            self.folders.make(self.own_path(name))
+            self.folders.make(self.own_base(name))
         return absent
 
     def forget(self, name: str) -> None:
         """Remove a derived table, so that the next build makes all of it; one of another store stays."""
         if name not in self.elsewhere:
-            self.folders.remove(self.path(name))
+            self.folders.remove(self.base(name))
 
     def truncate_all(self) -> None:
         """Empty all warehouse tables, fact first; surrogate keys start again at 1."""
@@ -158,10 +215,12 @@ class Store:
     def drop_all(self) -> None:
         """Drop all warehouse tables, fact first; absent ones are passed over. The marts lose their basis."""
         for table in reversed(WAREHOUSE):
-            self.folders.remove(self.own_path(table.name))
-        for table in MARTS:
+            self.folders.remove(self.own_base(table.name))
+        for table in (*MARTS, RAW_REJECTED):
             self.forget(table.name)
         self.strike_days(self.noted_days())
+        for note in ("_unchecked", "_batches"):
+            self.folders.remove(self._beside_fact(note))
 
     def row_counts(self) -> DataFrame:
         """Rows per warehouse table."""

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .folders import Folders
+from ..schemas import TABLES
+from .folders import Folders, Versions
 
 # Declared type name -> column type of the reporting database; anything else is TEXT.
 DECLARED_TYPES = {
@@ -93,26 +94,45 @@ class JdbcTarget:
 
 
 class ParquetTarget:
-    """Tables as Parquet folders."""
+    """Tables as Parquet folders; the fact and the rate mart by day.
+
+    A replaced table is written beside the old one and published by one last step, so a failing write leaves the old
+    rows, and whoever reads the old ones can end. ``path`` names the folder to read.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self.folders = Folders(spark)
+
+    def _versions(self, name: str) -> Versions:
+        return Versions(self.folders, f"{self.root}/{name}")
+
+    def path(self, name: str) -> str:
+        return self._versions(name).current()
 
     def replace(self, name: str, rows: DataFrame) -> int:
-        return self._write(name, rows, "overwrite")
+        return self._versions(name).replace(lambda path: self._write(name, rows, "overwrite", path))
 
     def append(self, name: str, rows: DataFrame) -> int:
-        return self._write(name, rows, "append")
+        return self._write(name, rows, "append", self.path(name))
 
-    def _write(self, name: str, rows: DataFrame, mode: str) -> int:
+    def _write(self, name: str, rows: DataFrame, mode: str, path: str) -> int:
         rows, seen = _counted(rows)
-        rows.write.mode(mode).parquet(f"{self.root}/{name}")
+        self._save(name, rows.write.mode(mode).option("partitionOverwriteMode", "static"), path)
         return seen.get["rows"]
 
+    def _save(self, name: str, writer: DataFrameWriter, path: str) -> None:
+        day = TABLES[name].day if name in TABLES else None
+        (writer.partitionBy(day) if day else writer).parquet(path)
+
     def read(self, name: str, schema: T.StructType) -> DataFrame:
-        path = f"{self.root}/{name}"
-        if not Folders(self.spark).exists(path):
+        """The table, or an empty frame before it was first written. A filter on the day reads the folders of that day."""
+        path = self.path(name)
+        if not self.folders.exists(path):
             return self.spark.createDataFrame([], schema)
+        return self._load(schema, path).select(*schema.fieldNames())
+
+    def _load(self, schema: T.StructType, path: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(path)
 
 
@@ -124,15 +144,10 @@ class TsvTarget(ParquetTarget):
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     }
 
-    def _write(self, name: str, rows: DataFrame, mode: str) -> int:
-        rows, seen = _counted(rows)
-        rows.write.mode(mode).options(**self.OPTIONS, emptyValue='""').csv(f"{self.root}/{name}")
-        return seen.get["rows"]
+    def _save(self, name: str, writer: DataFrameWriter, path: str) -> None:
+        writer.options(**self.OPTIONS, emptyValue='""').csv(path)
 
-    def read(self, name: str, schema: T.StructType) -> DataFrame:
-        path = f"{self.root}/{name}"
-        if not Folders(self.spark).exists(path):
-            return self.spark.createDataFrame([], schema)
+    def _load(self, schema: T.StructType, path: str) -> DataFrame:
         return self.spark.read.schema(schema).options(**self.OPTIONS, emptyValue="").csv(path)
 
     def load_script(self, name: str, schema: T.StructType) -> str:
@@ -141,6 +156,6 @@ class TsvTarget(ParquetTarget):
         return "\n".join((
             f'DROP TABLE IF EXISTS "{name}";',
             f"{create_table_sql(name, schema)};",
-            f'-- for each file below {self.root}/{name}:',
+            f'-- for each file below {self.path(name)}:',
             f"""-- COPY "{name}" FROM STDIN WITH ({options});""",
         ))

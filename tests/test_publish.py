@@ -164,3 +164,103 @@ def test_sql_file_errors(filled, tmp_path):
     empty.write_text("-- nothing; here\n")
     with pytest.raises(ValueError):
         sqlfile.run_sql_file(filled, str(empty))
+
+
+def sql(store, tmp_path, text, **args):
+    file = tmp_path / "statements.sql"
+    file.write_text(text)
+    return sqlfile.run_statements(store, str(file), args)
+
+
+def test_statements_tell_kind_rows_and_counts(filled, tmp_path, spark):
+    results = sql(filled, tmp_path, f"""
+        SELECT count(*) AS n FROM {FACT};
+        INSERT INTO dim_academy VALUES (2, 'South'), (3, :third);
+        UPDATE {FACT} SET status = upper(status) WHERE pupil_key = 1 AND fact_date <= DATE '2025-01-02';
+        DELETE FROM {FACT} WHERE fact_date = DATE '2025-01-03' AND pupil_key IN (SELECT 2);
+        WITH one AS (SELECT * FROM dim_academy) SELECT max(academy_key) AS k FROM one WHERE academy_name = :third;
+        SELECT status, count(*) AS n FROM {FACT} GROUP BY status ORDER BY status;
+        DELETE FROM {FACT}""", third="West; 'x'")
+    assert [r.kind for r in results] == ["query", "insert", "update", "delete", "query", "query", "delete"]
+    assert [r.affected for r in results] == [None, 2, 2, 1, None, None, 5]
+    # Results are those of their turn.
+    assert [tuple(r) for i in (0, 4, 5) for r in results[i].rows.collect()] == [(6,), (3,), ("IN", 2), ("In", 3)]
+    assert filled.read(FACT).count() == 0 and filled.days(FACT) == []
+    assert filled.doubted_days()
+
+
+@pytest.mark.parametrize("text, problem", [
+    ("INSERT INTO dim_academy VALUES (1, 'South')", "academy_key"), ("INSERT INTO dim_academy VALUES (5, 'North')", "academy_name"),
+    ("INSERT INTO dim_academy SELECT 7, 'a' UNION ALL SELECT 7, 'b'", "academy_key"),
+    ("INSERT INTO dim_academy (academy_key) VALUES (9)", "academy_name is NULL"),
+    ("INSERT INTO dim_academy WITH w AS (SELECT 1 AS k) (SELECT k, 'z' FROM w) UNION ALL SELECT 1, 'y' FROM w ORDER BY 1", "academy_key"),
+    (f"INSERT INTO {FACT} SELECT * FROM {FACT} LIMIT 1", "fact_date,pupil_key"),
+    (f"INSERT INTO {FACT} (fact_date, date_key, pupil_key, stream_key) VALUES (DATE '2025-01-09', 20250109, 1, 77)", "stream_key"),
+    ("DELETE FROM dim_academy WHERE academy_key = 1", "refer to deleted"),
+])
+def test_writes_that_break_a_rule_change_nothing(filled, tmp_path, spark, text, problem):
+    filled.append(FACT, fact_rows(spark, 4).selectExpr("fact_date", "date_key", "pupil_key", "1L AS academy_key", "grade_key", "stream_key", "status", "attendance", "prcs_id"))
+    before = {name: sorted(map(str, filled.read(name).collect())) for name in ("dim_academy", FACT)}
+    with pytest.raises(sqlfile.IntegrityError, match=problem):
+        sql(filled, tmp_path, text)
+    assert {name: sorted(map(str, filled.read(name).collect())) for name in before} == before
+
+
+@pytest.mark.parametrize("text", [
+    "DROP TABLE dim_academy", "TRUNCATE TABLE dim_academy", "CREATE TABLE t AS SELECT 1 AS a", "INSERT OVERWRITE dim_academy SELECT 1, 'a'",
+    "WITH a AS (SELECT 1 AS k) INSERT INTO dim_academy SELECT k, 'x' FROM a", "INSERT INTO attendance_rate SELECT * FROM attendance_rate",
+    "UPDATE dim_academy SET academy_key = 5", "INSERT INTO elsewhere VALUES (1)",
+])
+def test_other_writes_are_refused(filled, tmp_path, text):
+    with pytest.raises(PermissionError):
+        sql(filled, tmp_path, text)
+
+
+def test_only_named_tables_become_views(filled, tmp_path, spark):
+    for name in TABLES:
+        spark.catalog.dropTempView(name)
+    sql(filled, tmp_path, "SELECT * FROM dim_academy WHERE academy_key IN (SELECT stream_key FROM dim_stream)")
+    assert {t.name for t in spark.catalog.listTables()} & set(TABLES) == {"dim_academy", "dim_stream"}
+
+
+def test_replacing_swaps_whole_versions(filled, target, spark):
+    schema = TABLES["dim_academy"].schema
+    old = filled.read("dim_academy")
+    broken = spark.createDataFrame([(2, "South")], schema).selectExpr("academy_key", "if(academy_key = 2, raise_error('cut off'), '') AS academy_name")
+    for place in (filled, target):
+        place.replace("dim_academy", old)
+        with pytest.raises(Exception, match="cut off"):
+            place.replace("dim_academy", broken)
+    for n in range(2, 6):
+        # A table may be replaced by what is read from it, and readers of the version before go on.
+        reader = filled.read("dim_academy")
+        filled.replace("dim_academy", reader.unionAll(spark.createDataFrame([(n, f"A{n}")], schema)))
+        assert reader.count() == n - 1 and filled.read("dim_academy").count() == n
+    assert [tuple(r) for r in target.read("dim_academy", schema).collect()] == [(1, "North")]
+    folder = filled.base("dim_academy")
+    assert sum(name.startswith("v") for name in filled.folders.names(folder)) == 2
+    filled.append("dim_academy", spark.createDataFrame([(9, "New")], schema))
+    assert filled.read("dim_academy").count() == 6
+
+
+def test_batch_append_reads_the_days_of_the_batch_alone(spark, store, target, raw):
+    from samples import snapshot
+
+    from rollmart.plans import daily, fact
+
+    days = [f"2025/01/0{d}" for d in range(1, 6)]
+    store.replace("raw_pupil", raw(*[snapshot(d, p) for d in days for p in "123"]))
+    store.replace("raw_pupil_attendance", raw.marks(*[(d, p, "Present") for d in days for p in "123"]))
+    daily.load_stage_and_dims(store)
+    for n in range(5):
+        fact.load_next(store, f"batch/{n}")
+    assert store.load_log() == [(f"batch/{n}", date(2025, 1, n + 1), 3) for n in range(5)]
+    for n in (0, 1, 1):
+        sync.sync_table(store, FACT, target, sync.BATCH_APPEND, f"batch/{n}")
+    assert batches(target) == {"batch/0": 3, "batch/1": 3}
+    source = sync.extract(store, FACT, "batch/1")
+    assert len(source.inputFiles()) < len(store.read(FACT).inputFiles())
+    held = sync.held_rows(store, target, "batch/1")
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fact_date" in plan and "2025-01-02" in plan
+    assert sync.extract(store, FACT, "unknown batch").count() == 0
