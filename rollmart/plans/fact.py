@@ -195,12 +195,12 @@ def load_history(store: Store, batch_of: Callable[[Column], Column], advance: st
     if not days:
         return LoadResult("", start, 0, False)
     pupils, marks = store.read(STG_PUPIL.name, days), store.read(STG_ATTENDANCE.name, days)
-    rows, offered = _one_per_key(_keyed(store, staged_with_marks(pupils, marks), batch_of(F.col("fact_date"))))
+    rows, offered = _one_per_key(_keyed(store, staged_with_marks(pupils, marks), batch_of(F.col("fact_date")).cast("string")))
     store.open_step("history")
     store.doubt_days(days)
     # One row per calendar day.
     named = store.spark.createDataFrame([(day,) for day in days], "fact_date date")
-    batches = {r["fact_date"]: r["batch"] for r in named.select("fact_date", batch_of(F.col("fact_date")).alias("batch")).collect()}
+    batches = {r["fact_date"]: r["batch"] for r in named.select("fact_date", batch_of(F.col("fact_date")).cast("string").alias("batch")).collect()}
     for day, batch in batches.items():
         store.announce_batch(batch, day)
     written = store.put_days(FACT.name, rows.hint("rebalance", FACT.day))

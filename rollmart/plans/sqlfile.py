@@ -225,19 +225,25 @@ _ROUTES = {"insert": _insert, "delete": _delete, "update": _update}
 
 
 def run_statements(store: Store, path: str, args: dict | None = None) -> list[StatementResult]:
-    """Run the statements of a file in order.
-
-    Values go in as named parameters (``:batch_id``); a parameter without a value is an error. Rows of queries are lazy;
-    in a file that also writes they are stored at their turn, so that later statements do not change them.
-    """
+    """Run the statements of a file in order."""
     if not path:
         raise ValueError("no SQL file given")
     file = Path(path)
     if not file.exists():
         raise FileNotFoundError(path)
-    parts = [Statement(store, part) for part in statements(file.read_text(encoding="utf-8"))]
-    if not parts:
+    found = run_text(store, file.read_text(encoding="utf-8"), args)
+    if not found:
         raise ValueError(f"{path} holds no statement")
+    return found
+
+
+def run_text(store: Store, text: str, args: dict | None = None) -> list[StatementResult]:
+    """Run the statements of a text in order.
+
+    Values go in as named parameters (``:batch_id``); a parameter without a value is an error. Rows of queries are lazy;
+    in a text that also writes they are stored at their turn, so that later statements do not change them.
+    """
+    parts = [Statement(store, part) for part in statements(text)]
     refused = [part.text for part in parts if part.kind == "refused"]
     if refused:
         raise PermissionError(f"not run here: {'; '.join(refused)}")

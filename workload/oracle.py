@@ -185,6 +185,27 @@ def published(skipped: str = "") -> str:
 FACT_COLUMNS = "fact_date, date_key, pupil_key, academy_key, grade_key, stream_key, status, attendance, prcs_id"
 WEEKEND = "dayname(fact_date) IN ('Saturday', 'Sunday')"
 
+# Marks as the malformed lines hold them: without the rows that have a cell too many.
+MALFORMED = """SELECT ord, Date, PupilID, CASE ord % 10 WHEN 1 THEN NULL
+  WHEN 2 THEN 'Pre' || chr(10) || 'sent, ' || CAST(ord AS VARCHAR) WHEN 3 THEN 'a, "b"' ELSE Attendance END AS Attendance
+FROM raw_marks WHERE ord % 10 <> 0"""
+
+
+def over_with(changed: dict[str, str], select: str) -> str:
+    """Like ``over``, with other bodies for some of the parts; a body may read the part it replaces as ``given``."""
+    bodies = {**PARTS, **{name: body.replace("given", f"({PARTS[name]})") for name, body in changed.items()}}
+    return "WITH " + ",\n".join(f"{name} AS ({body})" for name, body in bodies.items()) + f"\n{select}"
+
+
+def members_by_batch(dim: str, natural: str) -> str:
+    named = " AND grade_name IS NOT NULL" if dim == "dim_grade" else ""
+    return (
+        f"SELECT '{dim}' AS dimension, row_number() OVER (ORDER BY seen > DATE '2024-01-01', {natural}) AS member_key, "
+        f"CAST({natural} AS VARCHAR) AS member FROM (SELECT {natural}, min(snapshot_date) AS seen FROM stg_pupil "
+        f"WHERE {natural} IS NOT NULL{named} GROUP BY {natural})"
+    )
+
+
 ORACLE = {
     "date_text_parse": rf"""
 SELECT event_id, text, {parsed_date('text')} AS parsed FROM (
@@ -330,4 +351,60 @@ SELECT ord AS event_id, AcademyName, Status || chr(9) || '"x" \' AS Status,
 SELECT d.weekday, ';' AS separator, f.attendance, count(*) AS marks, count(DISTINCT f.pupil_key) AS pupils
 FROM fact f JOIN dim_date d ON d.date_key = f.date_key WHERE f.status = 'purchase'
 GROUP BY d.weekday, f.attendance"""),
+    "csv_malformed_rows": over(f"""
+SELECT Date, PupilID, Attendance, NULL AS text, NULL AS reason FROM ({MALFORMED}) UNION ALL
+SELECT Date, NULL, NULL, Date || ',' || PupilID || ',' || Attendance || ',extra', '4 cells instead of 3'
+FROM raw_marks WHERE ord % 10 = 0"""),
+    "stream_malformed_rows": over_with({"raw_marks": """
+SELECT ord, Date, PupilID, CASE ord % 10 WHEN 1 THEN NULL
+  WHEN 2 THEN 'Pre' || chr(10) || 'sent, ' || CAST(ord AS VARCHAR) WHEN 3 THEN 'a, "b"' ELSE Attendance END AS Attendance
+FROM given WHERE ord % 10 <> 0"""}, """
+SELECT *, (SELECT count(*) FROM events WHERE event_type <> 'signup' AND event_id % 10 = 0) AS rejected FROM stg_marks"""),
+    "replace_cut_off": over("""
+SELECT SnapshotDate, Status, count(*) AS n, place FROM raw_pupil, (VALUES ('raw'), ('published')) p(place) GROUP BY ALL"""),
+    "drop_all_counts": over(union(
+        f"{sql}, CAST(0 AS BIGINT) AS rows_after, false AS exists_after FROM {COUNTED[name]}"
+        for name, sql in counts("rows_before").items())),
+    "dims_two_batches": over(union(members_by_batch(dim, natural) for dim, natural in (
+        ("dim_academy", "academy_name"), ("dim_grade", "grade_id"), ("dim_stream", "stream")))),
+    "dim_first_name_wins": over_with({"raw_pupil": """
+SELECT * REPLACE (FirstName || substr(SnapshotDate, 9, 2) AS FirstName,
+  CASE WHEN CAST(GradeId AS BIGINT) % 3 = 0 AND CAST(substr(SnapshotDate, 9, 2) AS INTEGER) % 2 = 0
+    THEN ' middle Class ' ELSE GradeName END AS GradeName) FROM given"""}, """
+SELECT 'pupil' AS dimension, pupil_id AS id, first_name || ' ' || last_name AS name FROM stg_pupil
+QUALIFY row_number() OVER (
+  PARTITION BY pupil_id ORDER BY snapshot_date NOT BETWEEN DATE '2024-01-02' AND DATE '2024-01-04', snapshot_date) = 1
+UNION ALL
+SELECT 'grade', grade_id, grade_name FROM stg_pupil WHERE grade_id IS NOT NULL AND grade_name IS NOT NULL
+QUALIFY row_number() OVER (
+  PARTITION BY grade_id ORDER BY snapshot_date NOT BETWEEN DATE '2024-01-02' AND DATE '2024-01-04', snapshot_date, grade_name) = 1"""),
+    "fact_insert_ignore": over("SELECT * FROM fact WHERE fact_date <= DATE '2024-01-02'"),
+    "fact_load_log": over("""
+SELECT prcs_id, fact_date, count(*) AS n, load FROM fact, (VALUES ('history'), ('daily')) l(load)
+WHERE load = 'history' OR fact_date <= DATE '2024-01-03' GROUP BY ALL"""),
+    "fact_history_gap": over("SELECT fact_date, count(*) AS n FROM fact WHERE fact_date < DATE '2024-01-10' GROUP BY fact_date"),
+    "publish_refused": over("""
+SELECT * FROM (
+  SELECT 'dim_pupil' AS table_name, 'pupil_key' AS column_name, 'primary_key' AS test, count(*) AS failures
+  FROM dim_pupil WHERE pupil_id % 7 = 0 UNION ALL
+  SELECT 'dim_pupil', 'pupil_id', 'unique', count(*) FROM dim_pupil WHERE pupil_id % 7 = 0 UNION ALL
+  SELECT 'fact_pupil_attendance_daily', 'grade_key', 'foreign_key', count(*)
+  FROM fact JOIN dim_grade USING (grade_key) WHERE fact_date = DATE '2024-01-01' AND grade_name = 'Top Class'
+) WHERE failures > 0 UNION ALL SELECT 'published', '', '', 0"""),
+    "marts_published": over("""
+SELECT 'attendance_rate' AS mart, CAST(fact_date AS VARCHAR) AS k1, academy_name AS k2, grade_name AS k3,
+  round(attendance_rate, 6) AS rate, total_pupils_presented AS n FROM rate UNION ALL
+SELECT 'absenteeism_weekday', weekday, NULL, NULL, avg_absenteeism_rate, academies_count FROM weekdays UNION ALL
+SELECT 'academy_benchmarks', academy_name, NULL, NULL, round(overall_attendance_rate, 6), total_unique_pupils FROM benchmarks"""),
+    "adhoc_sql_writes": over("""
+SELECT stream AS name, stream_key AS n FROM dim_stream UNION ALL
+SELECT 'NEW ' || academy_name, 1000 + academy_key FROM dim_academy WHERE academy_name NOT LIKE 'A%' UNION ALL
+SELECT CASE WHEN pupil_id % 3 = 0 THEN first_name || ' ' || upper(first_name) || '; x'
+  ELSE first_name || ' ' || last_name END, pupil_key FROM dim_pupil UNION ALL
+SELECT 'insert', count(*) FROM dim_academy UNION ALL
+SELECT 'delete', count(*) FROM dim_academy WHERE academy_name LIKE 'A%' UNION ALL
+SELECT 'update', count(*) FROM dim_pupil WHERE pupil_id % 3 = 0 UNION ALL
+SELECT 'query', (SELECT count(*) FROM dim_stream) + (SELECT count(*) FROM dim_academy WHERE academy_name NOT LIKE 'A%')
+UNION ALL SELECT 'refused', 2"""),
+    "sync_full_rows": over("SELECT * FROM fact"),
 }

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from rollmart.functions import calendar, cleaning
 from rollmart.operators.keyed import insert_ignore, unknown_keys
 from rollmart.plans import checks, daily, dims, fact, marts, sqlfile, stage, sync
-from rollmart.schemas import ATTENDANCE_EXTRACT, FACT, MARTS, PUPIL_EXTRACT, STG_ATTENDANCE, STG_PUPIL, TABLES
+from rollmart.schemas import (
+    ATTENDANCE_EXTRACT, FACT, MARTS, PUPIL_EXTRACT, RAW_REJECTED, STG_ATTENDANCE, STG_PUPIL, TABLES, WAREHOUSE,
+)
 from rollmart.sources import extracts
 from rollmart.sources.folders import Scratch
 from rollmart.sources.store import Store, layer_order
@@ -165,6 +167,73 @@ def raw_full_replace(spark, sf_dir):
     return store.read("raw_pupil").groupBy("SnapshotDate", "Status").agg(F.count(F.lit(1)).alias("n"))
 
 
+def deliver_malformed(marks: DataFrame, path: str) -> str:
+    """Attendance lines of which every tenth has a cell too many, one too few, a line break in a quoted cell, or quotes
+    and a comma in one."""
+    kind, start = F.col("_row") % 10, F.concat_ws(",", "Date", "PupilID")
+    lines = (
+        F.when(kind == 0, F.array(F.concat_ws(",", start, "Attendance", F.lit("extra"))))
+        .when(kind == 1, F.array(start))
+        .when(kind == 2, F.array(F.concat(start, F.lit(',"Pre')), F.concat(F.lit("sent, "), F.col("_row").cast("string"), F.lit('"'))))
+        .when(kind == 3, F.array(F.concat(start, F.lit(',"a, ""b"""'))))
+        .otherwise(F.array(F.concat_ws(",", start, "Attendance")))
+    )
+    # The lines of a row stay together and in order; the header is the name of the only column.
+    rows = marks.select("_row", F.posexplode(lines)).repartitionByRange("_row").sortWithinPartitions("_row", "pos")
+    rows.select(F.col("col").alias(",".join(ATTENDANCE_EXTRACT))).write.options(
+        header="true", sep="\u0001", quote="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false"
+    ).csv(path)
+    return path
+
+
+@query
+def csv_malformed_rows(spark, sf_dir):
+    """Every line ends up as a kept or a rejected row."""
+    path = deliver_malformed(views.raw_attendance(spark, sf_dir), Scratch(spark).path("marks"))
+    scan = Scratch(spark).keep(extracts.scan_extract(spark, path, ATTENDANCE_EXTRACT), "scan")
+    kept = extracts.kept_rows(scan).select(
+        *ATTENDANCE_EXTRACT, F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("reason")
+    )
+    rejected = extracts.rejected_rows(scan, "raw_pupil_attendance").select(
+        F.col("first_cell").alias("Date"), F.lit(None).cast("string").alias("PupilID"),
+        F.lit(None).cast("string").alias("Attendance"), "text", "reason",
+    )
+    return kept.unionByName(rejected)
+
+
+@query
+def stream_malformed_rows(spark, sf_dir):
+    """The same lines as files of a stream: what is staged, and how many rows were rejected."""
+    base, scratch = loaded(spark, sf_dir), Scratch(spark)
+    path = deliver_malformed(views.raw_attendance(spark, sf_dir), scratch.path("marks"))
+    store = base.branch(new_root(spark), [STG_ATTENDANCE.name, RAW_REJECTED.name])
+    for _ in range(2):
+        intake.stage_arrivals(store, STG_ATTENDANCE.name, path, scratch.path("progress")).awaitTermination()
+    rejected = store.read(RAW_REJECTED.name).agg(F.count(F.lit(1)).alias("rejected"))
+    return store.read(STG_ATTENDANCE.name).join(F.broadcast(rejected))
+
+
+@query
+def replace_cut_off(spark, sf_dir):
+    """Raw and published rows after a replacement that fails halfway: those of before."""
+    base, store, target = loaded(spark, sf_dir), Store(spark, new_root(spark)), ParquetTarget(spark, new_root(spark))
+    rows = base.read("raw_pupil")
+    broken = rows.withColumn("Status", F.when(F.col("_row") % 1000 == 7, F.raise_error(F.lit("cut off"))).otherwise("lost"))
+    for place in (store, target):
+        place.replace("raw_pupil", rows.withColumn("Status", F.lit("first")))
+        place.replace("raw_pupil", rows)
+        try:
+            place.replace("raw_pupil", broken)
+        except Exception as error:  # noqa: BLE001
+            if "cut off" not in str(error):
+                raise
+    kept = {"raw": store.read("raw_pupil"), "published": target.read("raw_pupil", TABLES["raw_pupil"].schema)}
+    return reduce(DataFrame.unionByName, (
+        rows.groupBy("SnapshotDate", "Status").agg(F.count(F.lit(1)).alias("n")).withColumn("place", F.lit(place))
+        for place, rows in kept.items()
+    ))
+
+
 @query
 def stg_pupil_clean(spark, sf_dir):
     return loaded(spark, sf_dir).read(STG_PUPIL.name)
@@ -207,6 +276,21 @@ def truncate_all_counts(spark, sf_dir):
     return before.join(store.row_counts().withColumnRenamed("row_count", "rows_after"), "table_name")
 
 
+@query
+def drop_all_counts(spark, sf_dir):
+    """Rows per table before all tables are dropped, and whether the tables are there afterwards."""
+    base, store, scratch = loaded(spark, sf_dir), Store(spark, new_root(spark)), Scratch(spark)
+    for name in ("raw_pupil", "raw_pupil_attendance", STG_PUPIL.name, STG_ATTENDANCE.name, FACT.name):
+        store.append(name, base.read(name))
+    dims.load_dims(store)
+    before = scratch.keep(store.row_counts().withColumnRenamed("row_count", "rows_before"), "before")
+    store.drop_all()
+    left = [table.name for table in WAREHOUSE if store.exists(table.name)]
+    return before.join(store.row_counts().withColumnRenamed("row_count", "rows_after"), "table_name").withColumn(
+        "exists_after", F.col("table_name").isin(left)
+    )
+
+
 # Dimensions
 
 def _dimension(name: str):
@@ -229,6 +313,48 @@ def dim_incremental_keys(spark, sf_dir):
     return store.read("dim_pupil")
 
 
+ATTRIBUTES = {"dim_academy": "academy_name", "dim_grade": "grade_id", "dim_stream": "stream"}
+
+
+@query
+def dims_two_batches(spark, sf_dir):
+    """School, grade and class stream from the first day, then from all others: later members get the next keys."""
+    store = loaded(spark, sf_dir).branch(new_root(spark), list(ATTRIBUTES))
+    first, *later = store.days(STG_PUPIL.name)
+    for days in ([first], later, later):
+        dims.load_dims(store.branch(store.root, [*ATTRIBUTES, "dim_date", "dim_pupil"]), days)
+    return reduce(DataFrame.unionByName, (
+        store.read(name).select(
+            F.lit(name).alias("dimension"), F.col(TABLES[name].key[0]).alias("member_key"), F.col(natural).cast("string").alias("member")
+        ) for name, natural in ATTRIBUTES.items()
+    ))
+
+
+def renamed_by_day(raw: DataFrame) -> DataFrame:
+    """Pupils and grades whose names change from day to day, the middle class among them."""
+    day = F.substring("SnapshotDate", 9, 2)
+    changing = (F.col("GradeId").cast("long") % 3 == 0) & (day.cast("int") % 2 == 0)
+    return raw.withColumns({
+        "FirstName": F.concat("FirstName", day), "GradeName": F.when(changing, " middle Class ").otherwise(F.col("GradeName")),
+    })
+
+
+@query
+def dim_first_name_wins(spark, sf_dir):
+    """Of the names of a pupil or grade the one seen first stays, over several loads."""
+    base = loaded(spark, sf_dir)
+    store = base.branch(new_root(spark), [STG_PUPIL.name, "dim_date", "dim_pupil", *ATTRIBUTES])
+    insert_ignore(store, STG_PUPIL.name, stage.clean_pupil(renamed_by_day(base.read("raw_pupil"))))
+    days = store.days(STG_PUPIL.name)
+    for part in (days[1:4], days):
+        dims.load_dims(store, part)
+    pupils = store.read("dim_pupil").select(
+        F.lit("pupil").alias("dimension"), F.col("pupil_id").alias("id"), F.concat_ws(" ", "first_name", "last_name").alias("name")
+    )
+    grades = store.read("dim_grade").select(F.lit("grade").alias("dimension"), F.col("grade_id").alias("id"), F.col("grade_name").alias("name"))
+    return pupils.unionByName(grades)
+
+
 @query
 def distinct_multi_col(spark, sf_dir):
     return loaded(spark, sf_dir).read(STG_PUPIL.name).select("pupil_id", "first_name", "last_name").distinct()
@@ -335,6 +461,41 @@ def fact_history_load(spark, sf_dir):
     return loaded(spark, sf_dir).read(FACT.name)
 
 
+@query
+def fact_insert_ignore(spark, sf_dir):
+    """Days loaded twice, with pupils and schools that their dimension holds twice: one row per day and pupil, the first."""
+    base = loaded(spark, sf_dir)
+    store = base.branch(new_root(spark), [FACT.name, "dim_pupil", "dim_academy", "attendance_rate"])
+    pupils, academies = base.read("dim_pupil"), base.read("dim_academy")
+    store.append("dim_pupil", pupils.unionByName(pupils.where(F.col("pupil_id") % 7 == 0)))
+    store.append("dim_academy", academies.unionByName(academies.withColumn("academy_key", F.col("academy_key") + 1000)))
+    for n, batch in ((1, 1), (2, 2), (2, 3), (1, 1)):
+        fact.insert_day(store, date(2024, 1, n), day_batch(date(2024, 1, batch)))
+    return store.read(FACT.name)
+
+
+@query
+def fact_load_log(spark, sf_dir):
+    """Batch, day and rows of a history load and of three daily loads."""
+    store = fact_branch(spark, sf_dir)
+    daily_loads(store, runs=3)
+    return reduce(DataFrame.unionByName, (
+        spark.createDataFrame(log, "prcs_id string, fact_date date, n bigint").withColumn("load", F.lit(load))
+        for load, log in (("history", loaded(spark, sf_dir).load_log()), ("daily", store.load_log()))
+    ))
+
+
+@query
+def fact_history_gap(spark, sf_dir):
+    """A day whose marks belong to nobody who was staged ends a history load where daily loads would stall."""
+    base = loaded(spark, sf_dir)
+    store = base.branch(new_root(spark), [STG_ATTENDANCE.name, FACT.name])
+    stranger = F.when(F.col("attendance_date") == DAY % 10, F.col("pupil_id") + 1_000_000_000).otherwise(F.col("pupil_id"))
+    store.append(STG_ATTENDANCE.name, base.read(STG_ATTENDANCE.name).withColumn("pupil_id", stranger))
+    fact.load_history(store, calendar.date_key)
+    return store.read(FACT.name).groupBy("fact_date").agg(F.count(F.lit(1)).alias("n"))
+
+
 def school_days(spark, sf_dir) -> Store:
     """A store whose stage has no weekends, which is where strict loading stops."""
     base = loaded(spark, sf_dir)
@@ -404,6 +565,51 @@ def reporting_run(spark, sf_dir):
     )
 
 
+@query
+def publish_refused(spark, sf_dir):
+    """A reporting run over a dimension with repeated members and one with a missing member: the failing tests of the keys,
+    and that nothing was published."""
+    base, target = loaded(spark, sf_dir), ParquetTarget(spark, new_root(spark))
+    store = base.branch(new_root(spark), [FACT.name, "dim_pupil", "dim_grade", *(table.name for table in MARTS)])
+    pupils = base.read("dim_pupil")
+    store.append("dim_pupil", pupils.unionByName(pupils.where(F.col("pupil_id") % 7 == 0)))
+    store.append("dim_grade", base.read("dim_grade"))
+    daily_loads(store, runs=1)
+    store.replace("dim_grade", store.read("dim_grade").where(F.col("grade_name") != "Top Class"))
+    try:
+        daily.run_reporting(store, target, severity="warn")
+        failures = []
+    except checks.DataTestFailure as refused:
+        failures = refused.failures
+    found = sum(target.folders.exists(target.path(table.name)) for table in (*sync.PUBLISHED, *MARTS))
+    return spark.createDataFrame(
+        [*failures, ("published", "", "", found)], "table_name string, column_name string, test string, failures bigint"
+    )
+
+
+@query
+def marts_published(spark, sf_dir):
+    """The marts as they are read from the target, after it got all days but ten and then all."""
+    base, target = loaded(spark, sf_dir), ParquetTarget(spark, new_root(spark))
+    store = base.branch(new_root(spark), [FACT.name, *(table.name for table in MARTS)])
+    rows = base.read(FACT.name)
+    for part in (F.col("fact_date") <= DAY % 20, F.col("fact_date") > DAY % 20):
+        store.append(FACT.name, rows.where(part))
+        daily.run_reporting(store, target, severity="warn")
+    parts = {
+        "attendance_rate": ("fact_date", "academy_name", "grade_name", "attendance_rate", "total_pupils_presented"),
+        "absenteeism_weekday": ("weekday", None, None, "avg_absenteeism_rate", "academies_count"),
+        "academy_benchmarks": ("academy_name", None, None, "overall_attendance_rate", "total_unique_pupils"),
+    }
+    return reduce(DataFrame.unionByName, (
+        target.read(name, TABLES[name].schema).select(
+            F.lit(name).alias("mart"),
+            *((F.col(c).cast("string") if c else F.lit(None).cast("string")).alias(f"k{i}") for i, c in enumerate(columns[:3], 1)),
+            F.round(columns[3], 6).alias("rate"), F.col(columns[4]).alias("n"),
+        ) for name, columns in parts.items()
+    ))
+
+
 # Marts
 
 @query
@@ -563,3 +769,34 @@ def adhoc_sql_file(spark, sf_dir):
     base = loaded(spark, sf_dir)
     args = {"status": "purchase"}
     return sqlfile.run_sql_file(base, str(SQL_FILES / "status_report.sql"), args)[-1]
+
+
+@query
+def adhoc_sql_writes(spark, sf_dir):
+    """A file that inserts, deletes and updates, with the rows that each statement changed, and two inserts that the keys
+    refuse: what the tables hold in the end."""
+    base = loaded(spark, sf_dir)
+    store = base.branch(new_root(spark), ["dim_stream", "dim_pupil"])
+    for name in ("dim_stream", "dim_pupil"):
+        store.append(name, base.read(name))
+    results = sqlfile.run_statements(store, str(SQL_FILES / "members.sql"), {"suffix": "; x"})
+    refused = 0
+    for rows in ("SELECT stream_key, 'other' FROM dim_stream", "SELECT stream_key + 5000, stream FROM dim_stream"):
+        try:
+            sqlfile.run_text(store, f"INSERT INTO dim_stream {rows}")
+        except sqlfile.IntegrityError:
+            refused += 1
+    counts = [(r.kind, r.affected if r.affected is not None else r.rows.first()["n"]) for r in results] + [("refused", refused)]
+    held = store.read("dim_stream").select("stream", F.col("stream_key").alias("n")).unionByName(
+        store.read("dim_pupil").select(F.concat_ws(" ", "first_name", "last_name").alias("stream"), F.col("pupil_key").alias("n"))
+    )
+    return held.unionByName(spark.createDataFrame(counts, "stream string, n bigint")).withColumnRenamed("stream", "name")
+
+
+@query
+def sync_full_rows(spark, sf_dir):
+    """The published fact, whole rows, after it was published twice."""
+    base, target = loaded(spark, sf_dir), ParquetTarget(spark, new_root(spark))
+    for _ in range(2):
+        sync.sync_table(base, FACT.name, target)
+    return target.read(FACT.name, FACT.schema)
