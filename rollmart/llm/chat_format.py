@@ -2,10 +2,11 @@
 
 A pair is a chosen and a rejected conversation. Their longest common prefix of turns (same role and text, position by
 position) is rendered once as the prompt; what follows on either side is its completion, with the code-point spans that
-the loss covers: the text and end mark of assistant turns. The last turn of a pair of equal conversations stays in both
-completions if it is the assistant's, so that something is left to prefer.
+the loss covers: the text and end mark of assistant turns. Two equal conversations part before their last assistant turn, so
+that something is left to prefer; if they have none, all of them is prompt and the completions are empty.
 
-All of it is built-in functions over the turns; a conversation is a record, its turns come together in one row. Turns
+All of it is built-in functions over the turns. What comes out for a conversation is one text, so its turns come together in
+one row; tasks share conversations evenly, but a single one is not split. Turns
 are ordered by number, then role, then text; repeated turns are turns of their own. A NULL role is rendered as an empty
 role, a NULL text as an empty text (and both differ from empty ones in no way); a conversation without turns on one side
 gives an empty completion there; an empty table gives no pair.
@@ -49,6 +50,11 @@ def mask(turns: Column) -> Column:
     return F.aggregate(turns, nothing, walk, lambda done: done["spans"])
 
 
+def _last_reply(turns: str) -> Column:
+    """Position of the last assistant turn; 0 if there is none."""
+    return F.coalesce(F.array_max(F.transform(turns, lambda t, i: F.when(t["role"] == TRAINED, i + 1).otherwise(0))), F.lit(0)).cast("int")
+
+
 def _common(chosen: str, rejected: str) -> Column:
     """How many turns both begin with."""
     shorter = F.least(F.size(chosen), F.size(rejected))
@@ -56,8 +62,7 @@ def _common(chosen: str, rejected: str) -> Column:
     alike = F.zip_with(F.slice(chosen, F.lit(1), shorter), F.slice(rejected, F.lit(1), shorter), lambda a, b: a == b)
     first = F.array_position(alike, False)
     same = F.when(first > 0, first - 1).otherwise(shorter).cast("int")
-    last = F.get(chosen, longer - 1)["role"]
-    return F.when((same == longer) & (last == TRAINED), same - 1).otherwise(same)
+    return F.when((same == longer) & (_last_reply(chosen) > 0), _last_reply(chosen) - 1).otherwise(same)
 
 
 def format_preferences(pairs: DataFrame) -> DataFrame:
@@ -82,22 +87,18 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
 
 
 def swapped_replies(turns: DataFrame) -> DataFrame:
-    """Pairs from unpaired conversations: pair_id, chosen and rejected, one pair per conversation with an assistant turn.
+    """Pairs from unpaired conversations: pair_id, chosen and rejected, one pair for every conversation.
 
-    Chosen is the conversation up to its last assistant turn; rejected is the same with the last assistant reply of its
-    neighbour (conversations 2k and 2k + 1), an answer to something else. Without a neighbour, or if that has no reply,
-    the rejected reply is empty.
+    Chosen is the conversation; rejected is the same with the last assistant reply of its neighbour (conversations 2k and
+    2k + 1), an answer to something else, in the place of its own last one. Without a neighbour, or if that has no reply, the
+    rejected reply is empty. A conversation without an assistant turn is chosen and rejected as it is. Turns without
+    ``conv_id`` make one conversation, which has no neighbour.
     """
-    whole = gathered(turns.where("conv_id IS NOT NULL"), "conv_id", "turns")
-    # Position of the last assistant turn; 0 if there is none.
-    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == TRAINED, i + 1).otherwise(0)))
-    found = whole.withColumn("_last", last).where("_last > 0").select(
-        "conv_id", F.slice("turns", F.lit(1), F.col("_last")).alias("chosen")
-    )
-    replies = found.select(
-        (F.col("conv_id") + 1 - 2 * F.pmod("conv_id", F.lit(2))).alias("_for"), F.element_at("chosen", -1)["text"].alias("_reply")
+    found = gathered(turns, "conv_id", "chosen").withColumn("_last", _last_reply("chosen"))
+    replies = found.where("_last > 0").select(
+        (F.col("conv_id") + 1 - 2 * F.pmod("conv_id", F.lit(2))).alias("_for"), F.col("chosen")[F.col("_last") - 1]["text"].alias("_reply")
     )
     reply = F.struct(F.lit(TRAINED).alias("role"), F.coalesce("_reply", F.lit("")).alias("text"))
+    swapped = F.transform("chosen", lambda t, i: F.when(i + 1 == F.col("_last"), reply).otherwise(t))
     paired = found.join(replies, found["conv_id"] == replies["_for"], "left")
-    before = F.slice("chosen", F.lit(1), F.size("chosen") - 1)
-    return paired.select(F.col("conv_id").alias("pair_id"), "chosen", F.concat(before, F.array(reply)).alias("rejected"))
+    return paired.select(F.col("conv_id").alias("pair_id"), "chosen", swapped.alias("rejected"))
