@@ -7,7 +7,8 @@ documents by a seeded hash and reads its stream of blocks, again from the start
 as documents takes the one at which the quota is met whole or not at all; the difference goes to the next shard.
 
 Only one row per source comes to the driver (a mix lists its sources). Large sources are split into shards of about
-``SHARD_WORDS`` words, up to ``MAX_SHARDS`` of them, so no task holds a source. NULL texts have no words and are never
+``SHARD_WORDS`` words and ``SHARD_ROWS`` rows, up to ``MAX_SHARDS`` of them, so no task holds a source, also if its texts
+are empty; rows without ``doc_id`` are spread by their text. NULL texts have no words and are never
 taken; NULL sources are one source, the last; repeated rows are documents of their own; reruns agree because nothing
 depends on the order of the input; an empty table gives an empty mix.
 """
@@ -22,13 +23,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.folders import Scratch
-from .common import words
+from .common import whole, words
 
 WEIGHTS = (1, 2, 3)
 MAX_REPEATS = 3
 SEED = 17
 SHARD_WORDS = 250_000
-MAX_SHARDS = 4096
+SHARD_ROWS = 50_000
+MAX_SHARDS = 1 << 16
 MAX_BLOCK = 256
 
 
@@ -82,6 +84,11 @@ def n_words(text: Column) -> Column:
     return F.size(words(text)).cast("long")
 
 
+def spare(text: Column) -> Column:
+    """A number that spreads and orders rows which their ids do not tell apart."""
+    return F.xxhash64(whole(text))
+
+
 def _source_key(source: Column) -> Column:
     """A text that is never NULL and different for every source."""
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
@@ -93,18 +100,21 @@ def plan(sized: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS)
     ``sized`` has _key, _bucket (0 to MAX_SHARDS - 1) and size.
     """
     spark = sized.sparkSession
-    buckets = scratch.keep(sized.groupBy("_key", "_bucket").agg(F.sum("size").alias("_words")), "buckets")
-    sizes = {r["_key"]: r["n"] for r in buckets.groupBy("_key").agg(F.sum("_words").alias("n")).collect()}
+    buckets = sized.groupBy("_key", "_bucket").agg(F.sum("size").alias("_words"), F.count(F.lit(1)).alias("_rows"))
+    buckets = scratch.keep(buckets, "buckets")
+    found = buckets.groupBy("_key").agg(F.sum("_words").alias("n"), F.sum("_rows").alias("rows")).collect()
+    sizes, counts = ({r["_key"]: r[c] for r in found} for c in ("n", "rows"))
     names = sorted(sizes, key=lambda key: (not key, key))
     aims = targets([sizes[k] for k in names], [weights[i % len(weights)] for i in range(len(names))])
     block = max(1, min([MAX_BLOCK, *(int(aim) // 200 for aim in aims if aim)]))
     quotas = apportion(aims, round(sum(aims) / block))
 
-    def shards(size: int) -> int:
+    def shards(key: str) -> int:
         """A power of two, so that buckets are dealt evenly."""
-        return min(MAX_SHARDS, 1 << max(0, -(-size // SHARD_WORDS) - 1).bit_length())
+        wanted = max(-(-sizes[key] // SHARD_WORDS), -(-counts[key] // SHARD_ROWS))
+        return min(MAX_SHARDS, 1 << max(0, wanted - 1).bit_length())
 
-    rows = [(k, shards(sizes[k]), sizes[k], aim, q) for k, aim, q in zip(names, aims, quotas)]
+    rows = [(k, shards(k), sizes[k], aim, q) for k, aim, q in zip(names, aims, quotas)]
     sources = spark.createDataFrame(rows, "_key string, _shards int, source_size long, target double, _blocks long")
     per_shard = buckets.join(sources, "_key").groupBy(
         "_key", (F.col("_bucket") % F.col("_shards")).alias("_shard"), "_shards", "source_size", "target", "_blocks"
@@ -124,16 +134,17 @@ def plan(sized: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS)
 def take(rows: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -> DataFrame:
     """Adds source_size, target, taken, the whole passes (_passes) that ``taken`` holds, and _key and _shard.
 
-    ``rows`` has doc_id, source and size, and is evaluated twice.
+    ``rows`` has doc_id, source, size and _spare, a number that spreads rows without an id, and is evaluated twice.
     """
+    # Seeded by the id alone where there is one.
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit(seed), "_spare")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
     keyed = rows.withColumns({
-        "_key": _source_key(F.col("source")),
-        "_bucket": F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(MAX_SHARDS)).cast("int"),
+        "_key": _source_key(F.col("source")), "_bucket": F.pmod(spread, F.lit(MAX_SHARDS)).cast("int"),
     })
     dealt = plan(keyed.select("_key", "_bucket", "size"), scratch, weights)
     per_source = dealt.select("_key", "_shards").distinct()
     sharded = keyed.join(per_source, "_key").withColumn("_shard", F.col("_bucket") % F.col("_shards")).drop("_shards")
-    order = [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"), F.col("size")]
+    order = [F.xxhash64("doc_id", F.lit(seed)), F.col("doc_id"), F.col("size"), F.col("_spare")]
     before = Window.partitionBy("_key", "_shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     streamed = sharded.withColumn("_start", F.coalesce(F.sum("size").over(before), F.lit(0)))
     planned = streamed.join(dealt.drop("_shards", "_blocks"), ["_key", "_shard"])
@@ -141,7 +152,7 @@ def take(rows: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS,
     rest = F.col("_quota") - F.col("_passes") * F.col("_words")
     part = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("_start")))
     return planned.withColumn("_passes", passes).select(
-        *rows.columns, "source_size", "target", (F.col("_passes") * F.col("size") + part).cast("long").alias("taken"),
+        *(c for c in rows.columns if c != "_spare"), "source_size", "target", (F.col("_passes") * F.col("size") + part).cast("long").alias("taken"),
         "_passes", "_key", "_shard",
     )
 
@@ -163,7 +174,9 @@ def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: i
     A source differs from its target by half of a document at a shard's border at most, and by what rounding to blocks leaves.
     """
     scratch = Scratch(docs.sparkSession)
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "source", n_words(F.col("text")).alias("size"))
+    rows = docs.select(
+        F.struct(*docs.columns).alias("_row"), "doc_id", "source", n_words(F.col("text")).alias("size"), spare(F.col("text")).alias("_spare")
+    )
     piece = F.col("taken") - F.col("_passes") * F.col("size")
     taken = take(rows, scratch, weights, seed).where("taken > 0").withColumn("_piece", piece)
     cut = (F.col("_piece") > 0) & (F.col("_piece") < F.col("size"))

@@ -55,7 +55,9 @@ def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark)
-    sized = scratch.keep(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "sizes")
+    sized = scratch.keep(docs.select(
+        "doc_id", "source", mixing.n_words(F.col("text")).alias("size"), mixing.spare(F.col("text")).alias("_spare")
+    ), "sizes")
     return mixing.take(sized, scratch).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 

@@ -5,8 +5,9 @@ takes the keys of its own arcs up to its capacity, in ring order; the others con
 room. Capacities add up to the number of rows, so shard sizes differ by one row at most, and a shard that joins moves
 little besides the rows it takes.
 
-Only the counts per arc, as many numbers as the ring has points, come to the driver, where the overflow is settled; rows
-are ranked inside their arc (arcs hold about rows / (shards x VIRTUAL) each) and look their segment up by rank. The key
+Only the counts per arc, as many numbers as the ring has points, come to the driver, where the overflow is settled. Rows
+are numbered round the ring once, over range partitions, so an arc that a third of all rows fall into is spread over many
+tasks; the number tells the rank inside the arc, and the rank the segment. The key
 is ``doc_id``; a row without one is placed by its text. Repeated rows each take a place of their own; an empty table has
 no rows to place.
 """
@@ -15,10 +16,12 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from hashlib import blake2b
+from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.numbering import number_rows
 from ..sources.folders import Scratch
 from .common import whole
 
@@ -99,19 +102,23 @@ def assign(rows: DataFrame, shards: int, scratch: Scratch, virtual: int = VIRTUA
     )
     inside = (F.col("_position") >= F.col("_low")) & (F.col("_position") < F.col("_high"))
     placed = placed.join(F.broadcast(pieces.withColumnRenamed("_cell", "_of")), (F.col("_cell") == F.col("_of")) & inside)
-    placed = scratch.keep(placed.drop("_cell", "_of", "_low", "_high"), "arcs")
+    # The place orders rows that nothing else tells apart, and lets their range be cut.
+    placed = placed.drop("_cell", "_of", "_low", "_high").withColumn("_place", F.monotonically_increasing_id())
+    placed = scratch.keep(placed, "arcs")
 
     counts = {r["_arc"]: r["count"] for r in placed.groupBy("_arc").count().collect()}
     segments = settle(counts, [shard for _, shard in points], capacities(sum(counts.values()), shards))
+    ahead = dict(zip(sorted(counts), accumulate((counts[arc] for arc in sorted(counts)), initial=0)))
     # At most as many rows as arcs, shards and overflowing arcs together.
-    settled = F.broadcast(
-        spark.createDataFrame(segments, "_of long, _first long, _last long, shard int, _slot long")
-    )
-    order = Window.partitionBy("_arc").orderBy("_position", "doc_id", "_spare")
-    ranked = placed.withColumn("_rank", F.row_number().over(order) - 1)
-    within = (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_last"))
+    settled = F.broadcast(spark.createDataFrame(
+        [(*segment, ahead[segment[0]]) for segment in segments], "_of long, _first long, _last long, shard int, _slot long, _ahead long"
+    ))
+    order = [F.col(c) for c in ("_arc", "_position", "doc_id", "_spare", "_place")]
+    ranked = number_rows(placed, order, "_number", scratch)
+    rank = F.col("_number") - 1 - F.col("_ahead")
+    within = (rank >= F.col("_first")) & (rank < F.col("_last"))
     return ranked.join(settled, (F.col("_arc") == F.col("_of")) & within).select(
-        *(c for c in rows.columns if c != "_spare"), "shard", (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot")
+        *(c for c in rows.columns if c != "_spare"), "shard", (F.col("_slot") + rank - F.col("_first")).alias("slot")
     )
 
 

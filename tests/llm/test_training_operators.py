@@ -145,16 +145,15 @@ def test_ordinary_words_of_all_documents_set_the_mark(documents):
     docs = documents(*rows, (None, " ".join(rare)))
 
     def learned(docs):
-        return secret_scan.learn(docs, secret_scan.scan(docs, secret_scan.Grammars([], secret_scan.Ordinary({}))))
+        return secret_scan.learn(docs, secret_scan.scan(docs, secret_scan.Grammar(None, secret_scan.Ordinary({}))))
 
     some, every = learned(documents(*rows)), learned(docs)
-    assert max(least for _, least in every.formats) > max(least for _, least in some.formats)
+    assert every.mark > some.mark
     # ordinary and follow, ordinary and number: words of six letters outside the credentials.
     frames = secret_scan._ordinary_words(iter([pd.DataFrame({"text": [text for _, text in rows]})]))
     assert sum(frame["n"].sum() for frame in frames) == 60 * 2 + 700 * 2
-    for automaton, least in every.formats:
-        scores = [automaton.log_likelihood(f) - every.ordinary.log_likelihood(f) for f in map(secret_scan.classes, rare)]
-        assert sum(score <= least for score in scores) >= len(rare) / 3
+    scores = [every.score(secret_scan.form(word)) for word in rare]
+    assert sum(score <= every.mark for score in scores) >= len(rare) / 3
 
 
 # Packing
@@ -230,7 +229,7 @@ def test_preferences(spark):
 
 def test_preference_query_covers_conversations(spark):
     table = spark.read.parquet(f"{SF}/conversations.parquet")
-    assert REGISTRY["op5_preference_format"](spark, SF).count() == table.where("role = 'assistant'").select("conv_id").distinct().count()
+    assert REGISTRY["op5_preference_format"](spark, SF).count() == table.select("conv_id").distinct().count()
     assert chat_format.format_preferences(chat_format.swapped_replies(table.limit(0))).count() == 0
 
 
