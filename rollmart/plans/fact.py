@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.keyed import first_per_key, unknown_keys
-from ..schemas import DIM_DATE, DIM_PUPIL, FACT, MART_RATE, STG_ATTENDANCE, STG_PUPIL
+from ..schemas import DIM_DATE, DIM_PUPIL, FACT, MART_RATE, STATES, STG_ATTENDANCE, STG_PUPIL
 from ..sources.store import Store
 
 STRICT, NEXT_AVAILABLE = "strict", "next_available"
@@ -88,7 +88,8 @@ def _heal(store: Store) -> None:
     # A history load starts from an empty fact, so all that a cut-off one left behind is its own.
     if store.folders.exists(f"{store.root}/_open-history"):
         store.folders.remove(store.own_base(FACT.name))
-        store.forget(MART_RATE.name)
+        for table in (MART_RATE, *STATES):
+            store.forget(table.name)
         store.close_step("history")
 
 
@@ -133,10 +134,11 @@ def insert_day(store: Store, day: date, batch_id: str) -> tuple[int, int]:
     inserted = (store.append if held else store.put_days)(FACT.name, fresh)["rows"]
     if inserted:
         store.log_batch(batch_id, day, inserted)
-        if held and MART_RATE.name not in store.elsewhere:
-            store.drop_days(MART_RATE.name, [day])
+        if held:
+            store.touch_days([day])
     else:
         store.trust_days([day])
+    store.settle_late(day)
     return inserted, offered.get["rows"] - inserted
 
 
@@ -234,9 +236,15 @@ def load_summary(store: Store, result: LoadResult) -> DataFrame:
 
 
 def late_rows(store: Store, since: date | None = None) -> DataFrame:
-    """Staged rows with a mark whose day the fact has already passed without them; days from ``since`` on."""
-    loaded = store.days(FACT.name)
-    passed = [day for day in _stage_days(store) if loaded and day <= loaded[-1] and (not since or day >= since)]
+    """Staged rows with a mark whose day the fact has already passed without them; days from ``since`` on.
+
+    Only days that were noted when rows were staged behind the fact can have some; nothing else is read.
+    """
+    loaded, noted = store.days(FACT.name), store.late_days()
+    passed = [
+        day for day in _stage_days(store)
+        if loaded and day <= loaded[-1] and (not since or day >= since) and (noted is None or day in noted)
+    ]
     joined = staged_with_marks(
         store.read(STG_PUPIL.name, passed).select("snapshot_date", "pupil_id"),
         store.read(STG_ATTENDANCE.name, passed),

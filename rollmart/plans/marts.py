@@ -6,8 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import is_present
+from ..operators.keyed import unknown_keys
 from ..operators.numbering import number_rows, rank_descending
-from ..schemas import FACT, MART_BENCHMARKS, MART_RATE, MART_WEEKDAY
+from ..schemas import (
+    ACADEMY_PUPILS, ACADEMY_SUMS, FACT, MART_BENCHMARKS, MART_RATE, MART_WEEKDAY, WEEKDAY_SUMS,
+)
+from ..session import side_by_side
 from ..sources.folders import Scratch
 from ..sources.store import Store
 
@@ -107,6 +111,7 @@ def build_rates(store: Store, rebuild: bool = False) -> int:
     loaded, held = store.days(FACT.name), store.days(MART_RATE.name)
     store.drop_days(MART_RATE.name, [day for day in held if day not in set(loaded)])
     days = loaded if rebuild else [day for day in loaded if day not in set(held)]
+    store.drop_days(WEEKDAY_SUMS.name, days)
     if not days:
         return 0
     dims = (store.read(name) for name in ("dim_academy", "dim_grade", "dim_date"))
@@ -114,15 +119,94 @@ def build_rates(store: Store, rebuild: bool = False) -> int:
     return store.put_days(MART_RATE.name, rates.hint("rebalance", MART_RATE.day))["rows"]
 
 
+# What is kept of the fact for the two small marts, so that a build reads the days that are new.
+
+def weekday_sums(rates: DataFrame) -> DataFrame:
+    """Per day and academy the sums that the means over a weekday are made of."""
+    return rates.groupBy("fact_date", "weekday", "academy_name").agg(
+        F.sum(1 - F.col("attendance_rate")).alias("absent_rates"), F.sum("total_pupils_presented").alias("pupils"),
+        F.count(F.lit(1)).alias("groups"),
+    )
+
+
+def weekdays_of(sums: DataFrame) -> DataFrame:
+    """The weekday mart from its sums."""
+    return sums.groupBy("weekday").agg(
+        (F.sum("absent_rates") / F.sum("groups")).alias("avg_absenteeism_rate"),
+        (F.sum("pupils") / F.sum("groups")).alias("avg_daily_pupils"), F.count_distinct("academy_name").alias("academies_count"),
+    )
+
+
+def extend_weekdays(store: Store) -> DataFrame:
+    """The weekday mart, after the sums were brought up to the rate mart. A day that left it leaves the sums."""
+    wanted, held = store.days(MART_RATE.name), store.days(WEEKDAY_SUMS.name)
+    store.drop_days(WEEKDAY_SUMS.name, [day for day in held if day not in set(wanted)])
+    days = [day for day in wanted if day not in set(held)]
+    if days:
+        store.put_days(WEEKDAY_SUMS.name, weekday_sums(store.read(MART_RATE.name, days)).hint("rebalance", WEEKDAY_SUMS.day))
+    return weekdays_of(store.read(WEEKDAY_SUMS.name))
+
+
+def academy_pairs(fact: DataFrame, academies: DataFrame) -> DataFrame:
+    """Marks and presences per day, academy and pupil; rows without a known academy belong to academy 0."""
+    known = academies.select("academy_key", F.col("academy_key").alias("_known"))
+    summed = fact.groupBy("fact_date", "academy_key", "pupil_key").agg(
+        F.sum(is_present(F.col("attendance"))).alias("present"), F.count(F.lit(1)).alias("marks")
+    )
+    return summed.join(known, "academy_key", "left").select(
+        "fact_date", F.coalesce("_known", F.lit(0)).cast("bigint").alias("academy_key"), "pupil_key", "present", "marks"
+    )
+
+
+def metrics_of(sums: DataFrame, pupils: DataFrame, academies: DataFrame) -> DataFrame:
+    """The metrics of the academies from what is kept: sums per day, and the distinct pairs of academy and pupil."""
+    rates = sums.groupBy("academy_key").agg(F.sum("present").alias("present"), F.sum("marks").alias("marks"))
+    members = pupils.groupBy("academy_key").agg(F.count(F.lit(1)).alias("total_unique_pupils"))
+    return rates.join(members, "academy_key").join(academies, "academy_key", "left").select(
+        "academy_name", (F.col("present").cast("double") / F.col("marks")).alias("overall_attendance_rate"), "total_unique_pupils"
+    )
+
+
+def extend_academies(store: Store, rebuild: bool = False) -> DataFrame:
+    """The metrics of the academies, after what is kept of the fact was brought up to it.
+
+    The pairs of academy and pupil only grow, and adding a day twice adds nothing. A day that left the fact or changed
+    takes them along: then all of it is made anew.
+    """
+    loaded, summed, counted = store.days(FACT.name), store.days(ACADEMY_SUMS.name), store.counted_days()
+    if rebuild or set(summed) - set(loaded) or set(counted) - set(summed):
+        for table in (ACADEMY_SUMS, ACADEMY_PUPILS):
+            store.forget(table.name)
+        store.forget_counted()
+        summed, counted = [], []
+    days = [day for day in loaded if day not in set(summed) or day not in set(counted)]
+    academies = store.read("dim_academy")
+    if days:
+        with store.scratch() as scratch:
+            pairs = scratch.keep(academy_pairs(store.read(FACT.name, days), academies), "pairs")
+            sums = pairs.groupBy("fact_date", "academy_key").agg(F.sum("present").alias("present"), F.sum("marks").alias("marks"))
+            store.put_days(ACADEMY_SUMS.name, sums.hint("rebalance", ACADEMY_SUMS.day))
+            seen = pairs.select("academy_key", "pupil_key").distinct()
+            store.append(ACADEMY_PUPILS.name, unknown_keys(seen, store.read(ACADEMY_PUPILS.name), ACADEMY_PUPILS.key))
+            store.note_counted(days)
+    return metrics_of(store.read(ACADEMY_SUMS.name), store.read(ACADEMY_PUPILS.name), academies)
+
+
 def build_marts(store: Store, rebuild: bool = False) -> dict[str, int]:
-    """Build and store all marts; the weekday mart reads the stored rate mart. Returns rows written per mart."""
-    built = {MART_RATE.name: build_rates(store, rebuild)}
-    weekdays = absenteeism_weekday(store.read(MART_RATE.name))
-    built[MART_WEEKDAY.name] = store.replace(MART_WEEKDAY.name, weekdays)["rows"]
-    with store.scratch() as scratch:
-        ranked = academy_benchmarks(store.read(FACT.name), store.read("dim_academy"), scratch)
-        built[MART_BENCHMARKS.name] = store.replace(MART_BENCHMARKS.name, ranked)["rows"]
-    return built
+    """Build and store all marts from the days that are new. Returns rows written per mart."""
+    def rates_and_weekdays() -> dict[str, int]:
+        rates = build_rates(store, rebuild)
+        weekdays = store.replace(MART_WEEKDAY.name, extend_weekdays(store))["rows"]
+        return {MART_RATE.name: rates, MART_WEEKDAY.name: weekdays}
+
+    def benchmarks() -> dict[str, int]:
+        with store.scratch() as scratch:
+            metrics = scratch.keep(extend_academies(store, rebuild), "metrics")
+            ranked = rank_descending(metrics, "overall_attendance_rate", "rank", scratch)
+            return {MART_BENCHMARKS.name: store.replace(MART_BENCHMARKS.name, ranked)["rows"]}
+
+    first, second = side_by_side(store.spark, rates_and_weekdays, benchmarks)
+    return {**first, **second}
 
 
 def base_model(ids: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.keyed import all_present
-from ..schemas import FACT, FOREIGN_KEYS, MART_RATE, MARTS, STG_PUPIL, TABLES, UNIQUE_KEYS, Table
+from ..schemas import FACT, FOREIGN_KEYS, MARTS, STATES, STG_PUPIL, TABLES, UNIQUE_KEYS, Table
 from ..sources.folders import Scratch
 from ..sources.store import Store
 
@@ -109,7 +109,7 @@ class Statement:
         name = relation.multipartIdentifier().mkString(".") if hasattr(relation, "multipartIdentifier") else None
         if relation.getClass().getSimpleName() != "UnresolvedRelation" or name not in TABLES:
             raise PermissionError(f"only warehouse tables, named without alias, are written to: {self.text}")
-        if TABLES[name] in MARTS:
+        if TABLES[name] in (*MARTS, *STATES):
             raise PermissionError(f"{name} is made from other tables")
         self.store.own_base(name)
         return TABLES[name]
@@ -165,8 +165,7 @@ def _note(store: Store, table: Table, days: list) -> None:
         store.note_days(days)
     if table == FACT:
         store.doubt_days(days)
-        if MART_RATE.name not in store.elsewhere:
-            store.drop_days(MART_RATE.name, days)
+        store.touch_days(days)
 
 
 def _swap(store: Store, table: Table, hit: DataFrame, after: DataFrame) -> None:

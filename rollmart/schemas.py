@@ -116,13 +116,28 @@ MART_BENCHMARKS = Table(
     key=("academy_name",),
 )
 
+# What the marts are kept from, extended by the days that are new: sums per day, and who was ever seen where (0: nowhere).
+ACADEMY_SUMS = Table(
+    "academy_day_sums", _struct(fact_date=DATE, academy_key=LONG, present=LONG, marks=LONG),
+    key=("fact_date", "academy_key"), day="fact_date",
+)
+ACADEMY_PUPILS = Table(
+    "academy_pupils", _struct(academy_key=LONG, pupil_key=LONG), key=("academy_key", "pupil_key"),
+)
+WEEKDAY_SUMS = Table(
+    "weekday_day_sums",
+    _struct(fact_date=DATE, weekday=STRING, academy_name=STRING, absent_rates=DOUBLE, pupils=LONG, groups=LONG),
+    day="fact_date",
+)
+
 WAREHOUSE = (
     RAW_PUPIL, RAW_ATTENDANCE, STG_PUPIL, STG_ATTENDANCE,
     DIM_DATE, DIM_PUPIL, DIM_ACADEMY, DIM_GRADE, DIM_STREAM, FACT,
 )
 MARTS = (MART_RATE, MART_WEEKDAY, MART_BENCHMARKS)
 PUBLISHED = (FACT, DIM_DATE, DIM_PUPIL, DIM_ACADEMY, DIM_GRADE, DIM_STREAM)
-TABLES = {table.name: table for table in (*WAREHOUSE, *MARTS, RAW_REJECTED)}
+STATES = (ACADEMY_SUMS, ACADEMY_PUPILS, WEEKDAY_SUMS)
+TABLES = {table.name: table for table in (*WAREHOUSE, *MARTS, *STATES, RAW_REJECTED)}
 
 # Natural keys declared UNIQUE besides the primary keys.
 UNIQUE_KEYS = {

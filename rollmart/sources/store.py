@@ -11,7 +11,9 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import FACT, MARTS, RAW_REJECTED, TABLES, WAREHOUSE
+from ..schemas import (
+    ACADEMY_PUPILS, ACADEMY_SUMS, FACT, MART_RATE, MARTS, RAW_REJECTED, STATES, STG_ATTENDANCE, STG_PUPIL, TABLES, WAREHOUSE, WEEKDAY_SUMS,
+)
 from .folders import Folders, Scratch, Versions
 
 
@@ -25,8 +27,13 @@ class Store:
         self.folders = Folders(spark)
 
     def branch(self, root: str, own: list[str]) -> "Store":
-        """A store that keeps the tables in ``own`` itself and reads all others from this one."""
-        shared = {name: self.base(name) for name in TABLES if name not in own}
+        """A store that keeps the tables in ``own`` itself and reads all others from this one.
+
+        One with a fact or marts of its own keeps what its marts are made from itself, too.
+        """
+        made = {FACT.name, *(mart.name for mart in MARTS)}
+        states = [state.name for state in STATES] if made & set(own) else []
+        shared = {name: self.base(name) for name in TABLES if name not in own and name not in states}
         return Store(self.spark, root, shared)
 
     def base(self, name: str) -> str:
@@ -101,8 +108,18 @@ class Store:
         return {"rows": result["rows"], "days": days}
 
     def append(self, name: str, rows: DataFrame) -> dict:
-        """Add rows; returns their number and the days they belong to, measured in the writing stage itself."""
-        return self._write(name, rows, "append")
+        """Add rows; returns their number and the days they belong to, measured in the writing stage itself.
+
+        Rows staged for a day that the fact has passed are late: the day is noted. After an append that was cut off all
+        days are.
+        """
+        if name not in (STG_PUPIL.name, STG_ATTENDANCE.name):
+            return self._write(name, rows, "append")
+        cut_off = self.open_step(f"append-{name}")
+        written = self._write(name, rows, "append")
+        self.note_late(self.days(name) if cut_off else written["days"])
+        self.close_step(f"append-{name}")
+        return written
 
     def replace(self, name: str, rows: DataFrame) -> dict:
         """Put other rows in the place of the whole table.
@@ -153,7 +170,7 @@ class Store:
         for day in days:
             self.folders.remove(f"{self.root}/_noted/{day}")
 
-    # notes beside the fact: its days that no check has passed yet, and the days of each batch
+    # notes beside the fact: its days that no check has passed yet, its late days, and the days of each batch
 
     def _beside_fact(self, note: str) -> str:
         return f"{self.base(FACT.name).rpartition('/')[0]}/{note}"
@@ -169,6 +186,43 @@ class Store:
         for day in days:
             self.folders.remove(f"{self._beside_fact('_unchecked')}/{day}")
 
+    def note_late(self, days: Collection[date]) -> None:
+        """Notes those of the days that the fact has passed."""
+        self.folders.make(self._beside_fact("_late"))
+        loaded = self.days(FACT.name)
+        for day in days:
+            if loaded and day <= loaded[-1]:
+                self.folders.make(f"{self._beside_fact('_late')}/{day}")
+
+    def late_days(self) -> list[date] | None:
+        """The days that got rows after the fact had passed them; None where nobody took notes."""
+        if not self.folders.exists(self._beside_fact("_late")):
+            return None
+        return sorted(date.fromisoformat(day) for day in self.folders.names(self._beside_fact("_late")))
+
+    def settle_late(self, day: date) -> None:
+        self.folders.remove(f"{self._beside_fact('_late')}/{day}")
+
+    def _counted(self) -> str:
+        return f"{self.base(ACADEMY_PUPILS.name).rpartition('/')[0]}/_counted"
+
+    def note_counted(self, days: Collection[date]) -> None:
+        """The days whose pupils the pairs of academy and pupil hold."""
+        for day in days:
+            self.folders.make(f"{self._counted()}/{day}")
+
+    def counted_days(self) -> list[date]:
+        return sorted(date.fromisoformat(day) for day in self.folders.names(self._counted()))
+
+    def forget_counted(self) -> None:
+        self.folders.remove(self._counted())
+
+    def touch_days(self, days: Collection[date]) -> None:
+        """The fact changed on these days: what is kept of them is made anew by the next build of the marts."""
+        for name in (MART_RATE.name, ACADEMY_SUMS.name, WEEKDAY_SUMS.name):
+            if name not in self.elsewhere:
+                self.drop_days(name, list(days))
+
     def announce_batch(self, batch_id: str, day: date) -> None:
         """Noted before a batch writes to a day, so that the log never lacks one of its days."""
         self.folders.make(f"{self._beside_fact('_batches')}/{quote(batch_id, safe='')}/{day}")
@@ -216,10 +270,11 @@ class Store:
         """Drop all warehouse tables, fact first; absent ones are passed over. The marts lose their basis."""
         for table in reversed(WAREHOUSE):
             self.folders.remove(self.own_base(table.name))
-        for table in (*MARTS, RAW_REJECTED):
+        for table in (*MARTS, *STATES, RAW_REJECTED):
             self.forget(table.name)
         self.strike_days(self.noted_days())
-        for note in ("_unchecked", "_batches"):
+        self.forget_counted()
+        for note in ("_unchecked", "_late", "_batches"):
             self.folders.remove(self._beside_fact(note))
 
     def row_counts(self) -> DataFrame:

@@ -6,7 +6,7 @@ from datetime import date
 
 import pytest
 
-from rollmart.plans import checks, daily, marts
+from rollmart.plans import checks, daily, dims, marts
 from rollmart.schemas import TABLES
 from rollmart.sources.folders import Scratch
 from rollmart.sources.targets import ParquetTarget
@@ -187,3 +187,64 @@ def test_reporting_run(star, spark, tmp_path):
     assert result.synced[0].rows == len(facts)
     assert set(result.marts) == {"attendance_rate", "absenteeism_weekday", "academy_benchmarks"}
     assert len(result.failures) == 3
+
+
+def scanned_days(rows):
+    """The day folders that the files of a frame lie in."""
+    return sorted({part.partition("=")[2] for file in rows.inputFiles() for part in file.split("/") if part.startswith("fact_date=")})
+
+
+def fact_frame(spark, *rows):
+    full = [(date(2025, 1, d), 20250100 + d, pupil, academy, 1, 1, "In", mark, "b") for d, pupil, academy, mark in rows]
+    return spark.createDataFrame(full, TABLES[FACT].schema)
+
+
+def test_small_marts_are_kept_from_the_new_days(spark, store, monkeypatch):
+    store.append("dim_academy", spark.createDataFrame([(1, "North"), (2, "South")], TABLES["dim_academy"].schema))
+    store.append("dim_grade", spark.createDataFrame([(1, 1, "Primary 1")], TABLES["dim_grade"].schema))
+    days = [(date(2025, 1, d),) for d in range(1, 9)]
+    store.append("dim_date", dims.calendar(spark.createDataFrame(days, "snapshot_date date")))
+    read, original = [], store.read
+
+    def reading(name, of=None):
+        if name == FACT:
+            read.append(of)
+        return original(name, of)
+
+    monkeypatch.setattr(store, "read", reading)
+
+    def check():
+        """The stored marts against those of the whole fact."""
+        academies = original("dim_academy")
+        want = {tuple(r) for r in marts.academy_metrics(original(FACT), academies).collect()}
+        got = original("academy_benchmarks").collect()
+        assert {(r["academy_name"], r["overall_attendance_rate"], r["total_unique_pupils"]) for r in got} == want
+        weekdays = marts.absenteeism_weekday(original("attendance_rate")).collect()
+        assert {(r[0], round(r[1], 9), round(r[2], 9), r[3]) for r in original("absenteeism_weekday").collect()} == {
+            (r[0], round(r[1], 9), round(r[2], 9), r[3]) for r in weekdays
+        }
+
+    def build():
+        read.clear()
+        marts.build_marts(store)
+        found = {day.day for of in read for day in of}
+        check()
+        return found
+
+    store.append(FACT, fact_frame(spark, (1, 1, 1, "Present"), (1, 2, 1, "Absent"), (1, 3, None, "Present"), (1, 4, 77, "Present")))
+    assert build() == {1}
+    store.append(FACT, fact_frame(spark, (2, 1, 1, "Present"), (2, 2, 2, None), (2, 3, None, "Absent"), (2, 5, 2, "Present")))
+    assert build() == {2}
+    store.append(FACT, fact_frame(spark, (8, 1, 1, "Present"), (8, 5, 2, "Absent")))
+    assert build() == {8}
+    assert build() == set()
+    # A step that was cut off before its days were noted adds nothing when it is done again.
+    store.forget_counted()
+    store.note_counted([date(2025, 1, 1), date(2025, 1, 2)])
+    assert build() == {8}
+    # A day that left: all of it is made anew for the pupils, the sums of the other days stay for the weekdays.
+    store.drop_days(FACT, [date(2025, 1, 2)])
+    assert build() == {1, 8}
+    store.append(FACT, fact_frame(spark, (8, 9, 1, "Present")))
+    store.touch_days([date(2025, 1, 8)])
+    assert build() == {1, 8}

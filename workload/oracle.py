@@ -396,6 +396,9 @@ SELECT 'attendance_rate' AS mart, CAST(fact_date AS VARCHAR) AS k1, academy_name
   round(attendance_rate, 6) AS rate, total_pupils_presented AS n FROM rate UNION ALL
 SELECT 'absenteeism_weekday', weekday, NULL, NULL, avg_absenteeism_rate, academies_count FROM weekdays UNION ALL
 SELECT 'academy_benchmarks', academy_name, NULL, NULL, round(overall_attendance_rate, 6), total_unique_pupils FROM benchmarks"""),
+    "marts_from_increments": over_with({"fact": "SELECT * FROM given WHERE fact_date <> DATE '2024-01-05'"}, """
+SELECT weekday AS name, avg_absenteeism_rate AS rate, avg_daily_pupils AS pupils, academies_count AS n FROM weekdays UNION ALL
+SELECT academy_name, round(overall_attendance_rate, 6), CAST(total_unique_pupils AS DOUBLE), rank FROM benchmarks"""),
     "adhoc_sql_writes": over("""
 SELECT stream AS name, stream_key AS n FROM dim_stream UNION ALL
 SELECT 'NEW ' || academy_name, 1000 + academy_key FROM dim_academy WHERE academy_name NOT LIKE 'A%' UNION ALL
