@@ -26,7 +26,8 @@ def normalised(text: Column) -> Column:
 
 def _with_digest(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_content", normalised(F.col("text"))).withColumns({
-        "_digest": F.sha2("_content", 256),
+        # Never NULL, which the optimiser cannot know of sha2.
+        "_digest": F.coalesce(F.sha2("_content", 256), F.lit("")),
         # A second, unrelated hash: rows find their group by both.
         "_check": F.xxhash64("_content"),
     })
@@ -49,10 +50,25 @@ def membership(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_copies(docs: DataFrame) -> DataFrame:
-    """One row of each text, with the columns of ``docs``."""
-    rows = _with_digest(docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")).drop("text", "_content")
-    winners = groups(docs).select(*KEY, F.col("keep_id").alias("_keep"))
-    same = [rows[k] == winners[k] for k in KEY] + [rows["doc_id"].eqNullSafe(winners["_keep"])]
-    kept = rows.join(winners, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", *KEY]).select("_row.*")
+def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+    """One row of each text, with the columns of ``docs``.
+
+    A text whose digests occur once is no copy of another one, so rows are moved to their digests once, and only those
+    whose digests are repeated are compared by content: in the tasks, by digest and salt, and among the winners of the
+    salts. The row that stays is named by its place in the scan, and no column but the text is looked at.
+    """
+    marked = docs.select(F.struct(*docs.columns).alias("_row"), "text", "doc_id", F.monotonically_increasing_id().alias("_place"))
+    rows = _with_digest(marked).drop("text", "_content")
+    counted = _with_digest(docs.select("text")).groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n"))
+    again = counted.where("_n > 1").select(*KEY, F.lit(True).alias("_again"))
+    # Both branches read the same exchange.
+    flagged = rows.join(again, list(KEY), "left")
+    copies = flagged.where(F.col("_again"))
+    content = copies.select(
+        *KEY, normalised(F.col("_row.text")).alias("_content"), F.struct("doc_id", "_place").alias("_best"),
+        F.pmod(F.xxhash64("_place"), F.lit(salts)).alias("_salt"),
+    )
+    salted = content.groupBy(*KEY, "_content", "_salt").agg(F.max("_best").alias("_best"))
+    winners = salted.groupBy(*KEY, "_content").agg(F.max("_best").alias("_best")).select(F.col("_best._place").alias("_place"))
+    kept = copies.join(winners, "_place", "left_semi").select("_row.*")
+    return flagged.where(F.col("_again").isNull()).select("_row.*").unionByName(kept)
