@@ -35,3 +35,8 @@ def ratio(part: Column, total: Column) -> Column:
 def worker_memory() -> dict:
     """What a Python worker keeps from one task to the next; it may be gone at any time."""
     return sys.modules.setdefault("_rollmart_worker_memory", ModuleType("_rollmart_worker_memory")).__dict__
+
+
+def release_worker_memory() -> None:
+    """For tasks that need room themselves: a worker of another operator may be used again with all that it kept."""
+    worker_memory().clear()

@@ -25,12 +25,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..operators.numbering import number_rows
 from ..sources.folders import Scratch
-from .common import WORD, whole, words
+from .common import WORD, release_worker_memory, whole, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -42,8 +42,8 @@ LEAST_AGREEING = int(REGISTERS * THRESHOLD - 6 * (REGISTERS * THRESHOLD * (1 - T
 # Words whose texts are hashed together.
 BATCH_WORDS = 300_000
 ROUNDS = 4
-# Buckets of up to LISTED units list their pairs at the end; larger ones are compared BLOCK by BLOCK units.
-LISTED, BLOCK = 32, 1000
+# Buckets of up to LISTED units list their pairs at the end; larger ones are compared in blocks of about this many words.
+LISTED, BLOCK_WORDS = 32, 400_000
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _STEPS = np.arange(1, SHINGLE + 1, dtype=np.uint64) * _GOLDEN
@@ -115,6 +115,7 @@ def signatures(text: np.ndarray, run: np.ndarray, count: np.ndarray, texts: int)
 
 def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Bands and 16 bits of every register, for rows of key, doc_id and word hashes."""
+    release_worker_memory()
     for batch in batches:
         sizes = batch["hashes"].map(len).to_numpy()
         group = np.cumsum(sizes) // BATCH_WORDS
@@ -137,15 +138,29 @@ def _describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def keyed(docs: DataFrame) -> DataFrame:
     """doc_id, text and the digest that stands for equal texts."""
     text = whole(F.col("text"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("text_key"), text.alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(text).alias("text_key"), text.alias("text"))
+
+
+def text_key(text: Column) -> Column:
+    """The SHA-256 that stands for a text."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def word_hashes(text: Column) -> Column:
+    """A hash of every word of a lower-cased text, in order."""
+    return F.transform(words(text), lambda word: F.xxhash64(word))
+
+
+def word_count(text: Column) -> Column:
+    return F.size(words(text)).cast("long")
 
 
 def units(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per distinct text: unit (a number), text_key, doc_id (the smallest), bands, registers."""
     hashed = keyed(docs).select(
-        "text_key", "doc_id", F.transform(words(F.lower("text")), lambda word: F.xxhash64(word)).alias("hashes")
+        "text_key", "doc_id", word_hashes(F.lower("text")).alias("hashes")
     )
-    schema = "text_key string, doc_id long, bands array<long>, registers binary"
+    schema = "text_key binary, doc_id long, bands array<long>, registers binary"
     described = scratch.keep(hashed.mapInPandas(_describe, schema), "signatures")
     # Equal texts have equal signatures: any of them will do.
     distinct = described.groupBy("text_key").agg(
@@ -183,6 +198,7 @@ def similarity(one: Counter, other: Counter) -> float:
 
 def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The pairs of texts that are similar enough."""
+    release_worker_memory()
     last, counts = None, Counter()
     for batch in batches:
         links = []
@@ -195,25 +211,30 @@ def _verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _compare_block(rows: pd.DataFrame) -> pd.DataFrame:
-    """For every asking text a link to each component that holds a near copy of it in this block."""
-    asks = rows["asks"].to_numpy()
-    counts = [shingle_counts(text) for text in rows["text"]]
-    units, roots = rows["unit"].to_numpy(), rows["root"].to_numpy()
-    members = np.flatnonzero(~asks)
-    owner = np.repeat(np.arange(len(members)), [len(counts[m]) for m in members])
-    runs = np.array([hash(run) for m in members for run in counts[m]], dtype=np.int64)
-    times = np.array([n for m in members for n in counts[m].values()], dtype=np.int64)
-    totals = np.array([counts[m].total() for m in members], dtype=np.int64)
+    """For every asking text a link to each component that holds a near copy of it in this block, by the hashes of the
+    runs; links are verified on the texts afterwards."""
+    release_worker_memory()
+    asks, units, roots = rows["asks"].to_numpy(), rows["unit"].to_numpy(), rows["root"].to_numpy()
+
+    def runs_of(of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        parts = [np.asarray(h, dtype=np.int64) for h in rows["hashes"].to_numpy()[of]]
+        tokens = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+        return weighted_shingles(tokens.view(np.uint64), np.array([len(p) for p in parts], dtype=np.int64))
+
+    members, asking = np.flatnonzero(~asks), np.flatnonzero(asks)
+    owner, runs, times = runs_of(members)
+    totals = np.bincount(owner, times, len(members))
+    questioner, asked, weights = runs_of(asking)
+    borders = np.searchsorted(questioner, np.arange(len(asking) + 1))
     links = []
-    for q in np.flatnonzero(asks):
-        own = sorted((hash(run), n) for run, n in counts[q].items())
-        if not own or not len(runs):
+    for q, start, end in zip(asking, borders, borders[1:]):
+        keys, weight = asked[start:end], weights[start:end]
+        if not len(keys) or not len(runs):
             continue
-        keys, weights = (np.array(column, dtype=np.int64) for column in zip(*own))
         place = np.minimum(np.searchsorted(keys, runs), len(keys) - 1)
-        shared = np.where(keys[place] == runs, np.minimum(weights[place], times), 0)
+        shared = np.where(keys[place] == runs, np.minimum(weight[place], times), 0)
         common = np.bincount(owner, shared, len(members))
-        near = common >= THRESHOLD * (totals + weights.sum() - common) - 1e-9
+        near = common >= THRESHOLD * (totals + weight.sum() - common) - 1e-9
         for root in set(roots[members[near]]) - {roots[q]}:
             other = units[members[near & (roots[members] == root)]].min()
             links.append((min(units[q], other), max(units[q], other)))
@@ -224,24 +245,23 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(unit, root) for every end of an edge; root is the smallest unit of the component.
 
     Alternates between hanging all neighbours of a unit that are larger than it, and all that are smaller, on the smallest
-    neighbour; nothing changes any more when every unit hangs on its root.
+    neighbour, until no edge moves: then every unit hangs on its root.
     """
     edges = scratch.keep(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges"
     )
-    before = None
-    while True:
+    moved = 1
+    while moved:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-        large = large.distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = scratch.keep(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % 1_000_003).alias("s")).first()
-        if state == before:
-            break
-        before = state
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"), (F.col("m") != F.col("u")).alias("moved"))
+        large = large.where("u <> v").groupBy("u", "v").agg(F.max("moved").alias("moved"))
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.max("moved").alias("_m"))
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("moved"))
+        after = small.union(least.select("u", F.col("m").alias("v"), "_m")).groupBy("u", "v").agg(F.max("moved").alias("moved"))
+        seen = Observation()
+        edges = scratch.keep(after.observe(seen, F.count_if("moved").alias("n")), "edges").select("u", "v")
+        moved = seen.get["n"]
     return edges.select(F.col("u").alias("unit"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("unit"), F.col("v").alias("root")).distinct()
     )
@@ -310,22 +330,23 @@ class Links:
     def _finish(self, still: DataFrame) -> None:
         """Compares whatever the rounds have left, completely: everything outside a bucket's largest component with
         everything in the bucket. Small buckets list their pairs, the others are compared in blocks within a task."""
-        sizes = still.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-            F.sum("n").alias("_all"), F.max(F.struct("n", "root")).alias("_main")
+        still = still.join(self.texts.select("unit", word_count(F.col("text")).alias("words")), "unit")
+        sizes = still.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")).groupBy("bucket").agg(
+            F.sum("n").alias("_all"), F.sum("words").alias("_words"), F.max(F.struct("n", "root", "words")).alias("_main")
         )
-        sized = still.join(sizes.select("bucket", "_all", F.col("_main.n").alias("_held"), F.col("_main.root").alias("_main")), "bucket")
+        sized = still.join(sizes.select("bucket", "_all", "_words", F.col("_main.words").alias("_held"), F.col("_main.root").alias("_main")), "bucket")
         few = sized.where(F.col("_all") <= LISTED).select("bucket", "unit", "root")
         other = few.select("bucket", F.col("unit").alias("b"), F.col("root").alias("_root"))
         rest = few.join(other, "bucket").where("unit < b AND root <> _root").select(F.col("unit").alias("a"), "b")
 
         def parts(n):
-            return F.ceil(n / BLOCK).cast("int")
+            return F.greatest(F.ceil(n / BLOCK_WORDS), F.lit(1)).cast("int")
 
         def dealt(n):
             return F.pmod(F.xxhash64("unit"), n).cast("int")
 
-        many = sized.where(F.col("_all") > LISTED).withColumn("_asked", F.col("_all") - F.col("_held"))
-        blocks, chunks = parts(F.col("_all")), parts(F.col("_asked"))
+        many = sized.where(F.col("_all") > LISTED).withColumn("_asked", F.col("_words") - F.col("_held"))
+        blocks, chunks = parts(F.col("_words")), parts(F.col("_asked"))
         everything = many.select(
             "bucket", "unit", "root", F.lit(False).alias("asks"), dealt(blocks).alias("block"),
             F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk"),
@@ -334,7 +355,8 @@ class Links:
             "bucket", "unit", "root", F.lit(True).alias("asks"),
             F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), dealt(chunks).alias("chunk"),
         )
-        rows = everything.union(asking).join(self.texts.select("unit", "text"), "unit")
+        hashes = self.texts.select("unit", word_hashes(F.col("text")).alias("hashes"))
+        rows = everything.union(asking).join(hashes, "unit")
         found = rows.groupBy("bucket", "block", "chunk").applyInPandas(_compare_block, "a long, b long")
         self.add(rest.union(found).distinct())
 
@@ -363,7 +385,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class, the one with the smallest id, with the columns of ``docs``."""
     found = unit_classes(docs, Scratch(docs.sparkSession))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.md5(whole(F.col("text"))).alias("text_key"))
+                       text_key(whole(F.col("text"))).alias("text_key"))
     same = [rows["text_key"] == found["text_key"], rows["doc_id"].eqNullSafe(found["class_id"])]
     # Two texts of a class may carry the same id, and a row may be repeated: one of them stays.
     return rows.join(found, same).dropDuplicates(["root"]).select("_row.*")
