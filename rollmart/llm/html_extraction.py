@@ -2,15 +2,18 @@
 
 Every element and every text block is a node with one of three labels: outside (holds the article but is not part of
 it), content, boilerplate. Potentials couple a node with its parent, and each node with what is seen of it: for elements
-the cue their tag, class, id and role give, for blocks their length and share of links. A boilerplate cue is evidence like any other:
+the cue their tag, class, id and role give, or without one whether their text is short or mostly links, for blocks their
+length and share of links. Names of headings, paragraphs and inline elements say nothing, nor does an id alone within the
+article, unless it is that of comments. A boilerplate cue is evidence like any other:
 it changes how likely the element's label is under each label of its parent, and its contents, which together count for
 ``WITHIN`` nodes, may outweigh it. An element that holds the article, or most of the page's long text and its heading, is no
 boilerplate for its cue (a form around the page). The marginals come from one upward and one downward pass of
 sum-product messages; blocks that are more likely content than not make the text.
 
 The potentials are counted on labelled pages: those of a bounded sample (``SAMPLE`` pages, smallest hash of the id) whose
-markup names the article itself, so that every node's label is known. What never occurs there keeps the small prior,
-as content inside boilerplate does.
+markup names the article itself, so that every node's label is known. Each of them is counted twice, as it is and with all
+names taken off, so that the potentials also hold for pages that name nothing. What never occurs keeps the small prior, as
+content inside boilerplate does.
 
 Text: character references are decoded, white space within a block becomes one space, blocks follow in page order with one
 space between them. Tags may be unclosed, cut off or out of order; an element of ``DROPPED`` that has no end tag ends with its
@@ -35,8 +38,11 @@ from .common import whole
 SAMPLE = 2_000
 
 OUTSIDE, CONTENT, BOILERPLATE = range(3)
-# What is seen of an element; MIXED names both, HOLDS is a boilerplate cue on what is around the article.
-PLAIN, MAIN, ASIDE, MIXED, HOLDS = range(5)
+# What is seen of an element; MIXED names both, HOLDS is a boilerplate cue on what is around the article. Without a name:
+# LINKED is mostly links, SHORT has little text, by itself or beside a sibling that has ten times as much, or paragraphs
+# and headings where this one has none.
+PLAIN, MAIN, ASIDE, MIXED, HOLDS, LINKED, SHORT = range(7)
+SHORT_TEXT, SHORT_BESIDE, BESIDE = 80, 200, 10
 
 # Elements by what they mean, and words of class, id and role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -52,6 +58,10 @@ INLINE = frozenset(
     "math annotation menclose mfrac mi mmultiscripts mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt "
     "mstyle msub msubsup msup mtable mtd mtext mtr munder munderover semantics".split()
 )
+# Elements that hold others; what they hold is seen of them if nothing names them.
+CONTAINERS = frozenset("div section table tbody tr td ul ol dl nav header footer aside article main form center".split())
+# Elements of running text, whose names mostly come from what they say.
+SPEAKING = frozenset("h1 h2 h3 h4 h5 h6 p blockquote pre figcaption caption".split())
 CLOSES_ITSELF = frozenset("li dt dd tr td th option".split())
 MAIN_TAGS = frozenset("article main".split())
 ASIDE_TAGS = frozenset("nav header footer aside form menu dialog button fieldset".split())
@@ -86,6 +96,7 @@ class Tree:
     seen: list[int] = field(default_factory=list)  # the cue of an element, the bucket of a block
     text: list[str] = field(default_factory=list)
     remarks: set[int] = field(default_factory=set)  # elements that are named as comments
+    by_id: set[int] = field(default_factory=set)  # elements with a boilerplate cue in nothing but their id
 
     def add(self, parent: int, tag: str, seen: int, text: str = "") -> int:
         self.parent.append(parent)
@@ -106,7 +117,7 @@ def _names(attributes: str) -> list[list[str]]:
 
 
 def cue(tag: str, attributes: str) -> int:
-    if tag in ("html", "body"):
+    if tag in ("html", "body") or tag in SPEAKING or (tag in INLINE and not _has_role(attributes)):
         return PLAIN
     names = _names(attributes) if attributes else []
     asides = [not ASIDE_WORDS.isdisjoint(words) for words in names]
@@ -120,6 +131,15 @@ def cue(tag: str, attributes: str) -> int:
     return MAIN if mains or tag in MAIN_TAGS else PLAIN
 
 
+def _has_role(attributes: str) -> bool:
+    return any(name.lower() == "role" for name, *_ in ATTRIBUTE.findall(attributes)) if attributes else False
+
+
+def _only_id(attributes: str) -> str:
+    """The attributes without any id."""
+    return ATTRIBUTE.sub(lambda m: "" if m[1].lower() == "id" else m[0], attributes)
+
+
 LENGTHS = (25, 80, 200)
 BUCKETS = 2 * (len(LENGTHS) + 1)
 
@@ -147,28 +167,36 @@ def parse(html: str) -> Tree:
     pending: list[str] = []
     linked = links = hidden = at = 0
     ends: dict[str, dict[int, int]] = {}
+    # By depth, kept beside the stack: the innermost element that is not inline, and the places of those.
+    owners, blocks = [0], [0]
+    opened: Counter = Counter()
+    never_closed: set[str] = set()
+
+    def push(node: int, tag: str) -> None:
+        stack.append(node)
+        open_tags.append(tag)
+        opened[tag] += 1
+        if tag not in INLINE:
+            blocks.append(len(stack) - 1)
+        owners.append(node if tag not in INLINE or tree.seen[node] == ASIDE else owners[-1])
 
     def flush() -> None:
         nonlocal linked
         if pending:
             text = " ".join("".join(pending).split())
             if text:
-                tree.add(owner(), "", bucket(len(text), linked), text)
+                tree.add(owners[-1], "", bucket(len(text), linked), text)
             pending.clear()
         linked = 0
 
-    def owner() -> int:
-        """The innermost open element that is not inline."""
-        for node, tag in zip(reversed(stack), reversed(open_tags)):
-            if tag not in INLINE or tree.seen[node] == ASIDE:
-                return node
-        return 0
-
     def close(place: int) -> None:
         nonlocal links, hidden
         links -= sum(tag == "a" for tag in open_tags[place:])
         hidden -= sum(tag in DROPPED for tag in open_tags[place:])
-        del stack[place:], open_tags[place:]
+        opened.subtract(open_tags[place:])
+        del stack[place:], open_tags[place:], owners[place:]
+        while blocks[-1] >= place:
+            blocks.pop()
 
     def say(raw: str) -> None:
         nonlocal linked
@@ -193,8 +221,10 @@ def parse(html: str) -> Tree:
             continue
         tag = name.lower()
         if slash:
-            if tag in open_tags[1:]:
-                place = len(open_tags) - 1 - open_tags[::-1].index(tag)
+            if opened[tag] > 0:
+                place = len(open_tags) - 1
+                while open_tags[place] != tag:
+                    place -= 1
                 if any(t not in INLINE for t in open_tags[place:]) or tree.seen[stack[place]] == ASIDE:
                     flush()
                 close(place)
@@ -205,10 +235,13 @@ def parse(html: str) -> Tree:
             if attributes.rstrip().endswith("/"):
                 continue
             if tag in RAW or tag == "title":
-                closing = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
+                closing = None
+                if tag not in never_closed:
+                    closing = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
                 if closing:
                     at = closing.end()
                 else:
+                    never_closed.add(tag)
                     following = html.find("<", at)
                     at = end if tag in RAW or following < 0 else following
                 continue
@@ -218,8 +251,7 @@ def parse(html: str) -> Tree:
                 at = max(at, ends[tag][token.start()])
                 continue
             flush()
-            stack.append(tree.add(stack[-1], tag, PLAIN))
-            open_tags.append(tag)
+            push(tree.add(stack[-1], tag, PLAIN), tag)
             hidden += 1
             continue
         if hidden and tag in FLOW:
@@ -239,24 +271,74 @@ def parse(html: str) -> Tree:
             elif tag in ("td", "th", "tr"):
                 closed |= {"td", "th"}
             # An open paragraph or item ends, unless another block was opened inside it.
-            for place in range(len(open_tags) - 1, 0, -1):
-                if open_tags[place] in closed:
-                    close(place)
-                elif open_tags[place] not in INLINE:
-                    break
+            while blocks[-1] and open_tags[blocks[-1]] in closed:
+                close(blocks[-1])
         if tag in VOID:
             continue
         if tag == "a":
             links += 1
-        stack.append(tree.add(stack[-1], tag, seen) if tag not in INLINE or seen == ASIDE else stack[-1])
-        open_tags.append(tag)
-        if seen == ASIDE and any(not REMARK_WORDS.isdisjoint(words) for words in _names(attributes)):
-            tree.remarks.add(stack[-1])
+        push(tree.add(stack[-1], tag, seen) if tag not in INLINE or seen == ASIDE else stack[-1], tag)
+        if seen == ASIDE:
+            if any(not REMARK_WORDS.isdisjoint(words) for words in _names(attributes)):
+                tree.remarks.add(stack[-1])
+            elif cue(tag, _only_id(attributes)) == PLAIN:
+                tree.by_id.add(stack[-1])
     flush()
     _free_wrappers(tree)
+    _look_inside(tree)
     return tree
 
 
+def contents(tree: Tree) -> list[int]:
+    """What is seen of every container by what it holds: LINKED, SHORT or PLAIN; PLAIN for all other elements."""
+    size = len(tree.parent)
+    every, linked = [0] * size, [0] * size
+    speaks = [tag in SPEAKING for tag in tree.tag]  # whether there are paragraphs or headings in it
+    for i in range(size - 1, 0, -1):
+        if not tree.tag[i]:
+            every[i] = len(tree.text[i])
+            linked[i] = every[i] if tree.seen[i] % 2 else 0
+        every[tree.parent[i]] += every[i]
+        linked[tree.parent[i]] += linked[i]
+        speaks[tree.parent[i]] |= speaks[i]
+    largest = [0] * size  # text of the largest child
+    for i in range(1, size):
+        largest[tree.parent[i]] = max(largest[tree.parent[i]], every[i])
+
+    def seen(i: int) -> int:
+        n = every[i]
+        if tree.tag[i] not in CONTAINERS or not n:
+            return PLAIN
+        if 2 * linked[i] > n:
+            return LINKED
+        above = max(tree.parent[i], 0)
+        if speaks[i] and n == largest[above]:  # the most there is
+            return PLAIN
+        beside = BESIDE * n < largest[above] or speaks[above] and not speaks[i]
+        return SHORT if n < SHORT_TEXT or n < SHORT_BESIDE and beside else PLAIN
+
+    return [seen(i) for i in range(size)]
+
+
+def _look_inside(tree: Tree) -> None:
+    """Elements that nothing names are seen by what they hold; an id within the article is no cue where it holds text."""
+    held = contents(tree)
+    named = [False] * len(tree.parent)  # whether the article is around a node
+    for i, tag in enumerate(tree.tag):
+        above = tree.parent[i]
+        named[i] = above >= 0 and (named[above] or tree.seen[above] == MAIN and bool(tree.tag[above]))
+        if tag and tree.seen[i] == ASIDE and i in tree.by_id and named[i] and held[i] == PLAIN:
+            tree.seen[i] = PLAIN
+        elif tag and tree.seen[i] == PLAIN:
+            tree.seen[i] = held[i]
+
+
+def nameless(tree: Tree) -> Tree:
+    """The same tree as it would be seen without any names."""
+    seen = [held if tag else own for tag, own, held in zip(tree.tag, tree.seen, contents(tree))]
+    return Tree(tree.parent, ["div" if tag else "" for tag in tree.tag], seen, tree.text)
+
+
 def _free_wrappers(tree: Tree) -> None:
     """Elements with a boilerplate cue that are around the article lose it."""
     size = len(tree.parent)
@@ -336,7 +418,10 @@ class Potentials:
 # Shares before any page is seen, by label; 0 rules a combination out.
 PRIOR_EDGE = ((0.4, 0.3, 0.3), (0.0, 0.9, 0.1), (0.0, 0.001, 0.999))
 PRIOR_ASIDE = ((0.02, 0.01, 0.97), (0.0, 0.02, 0.98), (0.0, 0.001, 0.999))
-PRIOR_CUE = ((0.93, 0.05, 0.0, 0.01, 0.01), (0.588, 0.4, 0.0, 0.01, 0.002), (0.42, 0.05, 0.5, 0.0298, 0.0002))
+PRIOR_CUE = (
+    (0.8, 0.05, 0.0, 0.01, 0.01, 0.06, 0.07), (0.528, 0.4, 0.0, 0.01, 0.002, 0.02, 0.04),
+    (0.15, 0.05, 0.5, 0.0298, 0.0002, 0.17, 0.1),
+)
 PRIOR_BLOCK = tuple(
     tuple(weights[b // 2] * (linked if b % 2 else 1 - linked) for b in range(BUCKETS))
     for weights, linked in (((0.4, 0.3, 0.2, 0.1), 0.5), ((0.1, 0.2, 0.3, 0.4), 0.1), ((0.4, 0.3, 0.2, 0.1), 0.5))
@@ -429,10 +514,12 @@ def _count_labelled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = labels(tree)
             if known is None:
                 continue
-            for i, label in enumerate(known):
-                counts["cue" if tree.tag[i] else "block", label, tree.seen[i]] += 1
-                if i:
-                    counts["aside" if tree.tag[i] and tree.seen[i] == ASIDE else "edge", known[tree.parent[i]], label] += 1
+            for version in (tree, nameless(tree)):
+                for i, (label, seen) in enumerate(zip(known, version.seen)):
+                    counts["cue" if tree.tag[i] else "block", label, seen] += 1
+                    if i:
+                        named = tree.tag[i] and seen == ASIDE
+                        counts["aside" if named else "edge", known[tree.parent[i]], label] += 1
     yield pd.DataFrame([(*key, n) for key, n in counts.items()], columns=["kind", "label", "seen", "n"])
 
 
