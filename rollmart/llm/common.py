@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,6 +39,21 @@ def worker_memory() -> dict:
     return sys.modules.setdefault("_rollmart_worker_memory", ModuleType("_rollmart_worker_memory")).__dict__
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Each job in this block removes its shuffle files when it ends, instead of when the driver happens to collect garbage.
+
+    For many jobs in a row that hand on stored tables; a lost executor within a job is mended as ever.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def release_worker_memory() -> None:
     """For tasks that need room themselves: a worker of another operator may be used again with all that it kept."""
     worker_memory().clear()

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators.numbering import number_rows
 from ..sources.folders import Scratch
-from .common import WORD, release_worker_memory, whole, words
+from .common import WORD, release_worker_memory, shuffles_removed, whole, words
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -283,8 +283,8 @@ class Links:
         self.texts = scratch.keep(
             texts.select("unit", "registers", F.lower("text").alias("text")).dropDuplicates(["unit"]), "candidates"
         )
-        self.links = scratch.keep(self.units.select(F.col("unit").alias("a"), F.col("unit").alias("b")).limit(0), "links")
-        self.roots = self.links.select(F.col("a").alias("unit"), F.col("b").alias("root"))
+        # (unit, root) of every unit that has a link; the root is the smallest unit of its component.
+        self.roots = found.sparkSession.createDataFrame([], "unit long, root long")
 
     def verify(self, pairs: DataFrame, passing: Scratch) -> DataFrame:
         """The pairs (a, b) that are near copies."""
@@ -306,12 +306,21 @@ class Links:
     def add(self, pairs: DataFrame) -> int:
         """Verifies pairs and takes the links in; how many there were."""
         with Scratch(self.scratch.spark) as passing:
-            new, n = self.scratch.keep_counted(self.verify(pairs, passing), "new")
+            new, n = passing.keep_counted(self.verify(pairs, passing), "new")
             if n:
-                self.links = self.links.union(new)
-                self.roots = self.scratch.keep(components(self.links, passing), "roots")
+                self.roots = self.scratch.keep(self._merged(new, passing), "roots")
         return n
 
+    def _merged(self, new: DataFrame, passing: Scratch) -> DataFrame:
+        """The roots after new links, which are drawn between the components that there are."""
+        for side in ("a", "b"):
+            known = self.roots.select(F.col("unit").alias(side), F.col("root").alias("_root"))
+            new = new.join(known, side, "left").withColumn(side, F.coalesce("_root", side)).drop("_root")
+        moved = passing.keep(components(new, passing), "moved")
+        onward = moved.select(F.col("unit").alias("root"), F.col("root").alias("_onward"))
+        kept = self.roots.join(onward, "root", "left").select("unit", F.coalesce("_onward", "root").alias("root"))
+        return kept.unionByName(moved.join(self.roots, "unit", "left_anti"))
+
     def search(self) -> None:
         for turn in range(ROUNDS):
             with Scratch(self.scratch.spark) as passing:
@@ -363,14 +372,15 @@ class Links:
 
 def unit_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """text_key, root (a number for the class) and class_id (the smallest doc_id of it) of every distinct text."""
-    found = units(docs, scratch)
-    search = Links(docs, found, scratch)
-    search.search()
-    rooted = found.select("unit", "text_key", "doc_id").join(search.roots, "unit", "left").select(
-        "text_key", "doc_id", F.coalesce("root", "unit").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    return scratch.keep(rooted.join(least, "root").select("text_key", "root", "class_id"), "classes")
+    with shuffles_removed(docs.sparkSession):
+        found = units(docs, scratch)
+        search = Links(docs, found, scratch)
+        search.search()
+        rooted = found.select("unit", "text_key", "doc_id").join(search.roots, "unit", "left").select(
+            "text_key", "doc_id", F.coalesce("root", "unit").alias("root")
+        )
+        least = rooted.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+        return scratch.keep(rooted.join(least, "root").select("text_key", "root", "class_id"), "classes")
 
 
 def classes(docs: DataFrame) -> DataFrame:

@@ -406,7 +406,7 @@ def test_blocks_find_links_between_components():
     text = " ".join(f"w{i}" for i in range(50))
     rows = pd.DataFrame({
         "bucket": 1, "unit": [1, 2, 3, 3], "root": [1, 1, 3, 3], "asks": [False, False, False, True],
-        "text": [text, "other words " * 9, text + " more", text + " more"], "block": 0, "chunk": 0,
+        "hashes": [[hash(w) for w in t.split()] for t in (text, "other words " * 9, text + " more", text + " more")],
     })
     assert near_dedup._compare_block(rows).values.tolist() == [[1, 3]]
 
