@@ -116,7 +116,8 @@ def plan(sized: DataFrame, scratch: Scratch, weights: Sequence[float] = WEIGHTS)
 
     rows = [(k, shards(k), sizes[k], aim, q) for k, aim, q in zip(names, aims, quotas)]
     sources = spark.createDataFrame(rows, "_key string, _shards int, source_size long, target double, _blocks long")
-    per_shard = buckets.join(sources, "_key").groupBy(
+    # One row per source, as the driver has just made them.
+    per_shard = buckets.join(F.broadcast(sources), "_key").groupBy(
         "_key", (F.col("_bucket") % F.col("_shards")).alias("_shard"), "_shards", "source_size", "target", "_blocks"
     ).agg(F.sum("_words").alias("_words"))
 
